@@ -7,22 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, mixing, quality_rules
+from . import html_extraction, jaccard_join, licences, line_dedup, mixing, pieces, pii, quality_rules, token_counts, vector_search
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_search.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pieces.encode(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "round_trip")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judged(table(spark, sf_dir, "documents"))
     return out.select("doc_id", *(F.col(f"__measures.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.sanitise(table(spark, sf_dir, "documents")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
@@ -33,8 +51,29 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licences.scan(table(spark, sf_dir, "documents"))
+    found = F.concat_ws(",", F.transform("matches", lambda m: F.concat_ws(":", m["licence"], m["start"].cast("string"), m["end"].cast("string"))))
+    return out.select("doc_id", F.size("matches").cast("long").alias("n_matches"), F.concat_ws(",", "licences").alias("licences"), found.alias("matches"), F.concat_ws(",", "sentences").alias("sentences"))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_jaccard": op2_jaccard, "op5_quality": op5_quality, "op7_lines": op7_lines, "op8_mixing": op8_mixing}
+    return {
+        "op1_vectors": op1_vectors,
+        "op2_jaccard": op2_jaccard,
+        "op3_tokens": op3_tokens,
+        "op4_pieces": op4_pieces,
+        "op5_quality": op5_quality,
+        "op6_pii": op6_pii,
+        "op7_lines": op7_lines,
+        "op8_mixing": op8_mixing,
+        "op9_licences": op9_licences,
+        "op10_html": op10_html,
+    }
 
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
