@@ -81,7 +81,8 @@ RULES = (
 _KNOWN = [(name, re.compile(pattern)) for name, pattern in SENTENCES.items()]
 #: A sentence without any of these words matches no pattern, and most texts have none at all.
 _HINT = re.compile(r"licen[cs]e|permission|redistribut|copyright|warrant|reserved|creative commons|\bcc\b|\bcc0|gnu|notice|mozilla|applicable law|neither the name|\bmit\b|software", re.I)
-_END = re.compile(r"(?<=[.!?;:])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*\n|\n(?=[\x20\x09]*(?:[*\-•]|[A-Z(\"]|[0-9]+[.)]))")
+_END = re.compile(r"(?<=[.!?;:])[\x20\x09-\x0D]+|\n[\x20\x09]*\n[\x20\x09-\x0D]*")
+_LINE = re.compile(r"\n")
 _OTHER = re.compile(r"[\W_]+")
 #: No known sentence is longer, so longer ones needn't be normalised.
 LONGEST = 1200
@@ -91,31 +92,41 @@ def normalised(sentence: str) -> str:
     return _OTHER.sub(" ", sentence.lower()).strip()
 
 
-def sentences(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of sentences: cut after an end mark and white space, at empty lines, and at lines that begin like a sentence."""
-    at = 0
-    for m in _END.finditer(text):
+def sentences(text: str, end: re.Pattern = _END, at: int = 0, stop: int | None = None) -> Iterator[tuple[int, int]]:
+    """Spans of sentences: cut after an end mark and white space, and at empty lines."""
+    stop = len(text) if stop is None else stop
+    for m in end.finditer(text, at, stop):
         if m.start() > at:
             yield at, m.start()
         at = m.end()
-    if at < len(text):
-        yield at, len(text)
+    if at < stop:
+        yield at, stop
+
+
+def _recognised(text: str, a: int, b: int) -> tuple[str, dict] | None:
+    if b - a > LONGEST or not _HINT.search(text, a, b):
+        return None
+    line = normalised(text[a:b])
+    return next(((name, m.groupdict()) for name, pattern in _KNOWN if (m := pattern.fullmatch(line))), None)
 
 
 def identified(text: str) -> list[tuple[int, str, dict, int, int]]:
-    """(number of the sentence, identifier, what the pattern read, start, end) of the known sentences, in order."""
+    """(number of the sentence, identifier, what the pattern read, start, end) of the known sentences, in order.
+
+    A sentence that isn't known is tried again line by line, since headings and notices often end without a mark.
+    """
     if not _HINT.search(text):
         return []
-    out, parts = [], list(sentences(text))
-    for k, (a, b) in enumerate(parts):
-        if b - a > LONGEST or not _HINT.search(text, a, b):
-            continue
-        line = normalised(text[a:b])
-        for name, pattern in _KNOWN:
-            m = pattern.fullmatch(line)
-            if m:
-                out.append((k, name, m.groupdict(), a, b))
-                break
+    out, k = [], 0
+    for a, b in sentences(text):
+        k += 1
+        if known := _recognised(text, a, b):
+            out.append((k, *known, a, b))
+        elif _HINT.search(text, a, b):
+            for x, y in sentences(text, _LINE, a, b):
+                k += 1
+                if known := _recognised(text, x, y):
+                    out.append((k, *known, x, y))
     return out
 
 
