@@ -34,10 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: a row a time, none where it isn't taken."""
-    docs = docs.select(*_COLUMNS)
-    copies = mixing.mixed(docs).where("copies > 0").select(F.col("doc_id").alias("__id"), "copies")
-    taken = docs.join(copies, docs.doc_id == F.col("__id"))
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*_COLUMNS)
+    return mixing.repeated(docs.select(*_COLUMNS)).select(*_COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

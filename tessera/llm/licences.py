@@ -44,7 +44,7 @@ SENTENCES = {
     "mpl-notice": r"this source code form is subject to the terms of the mozilla public licen[cs]e v(?:ersion)? ?(?P<version>2 0|1 1)",
     "spdx": r"spdx licen[cs]e identifier (?P<id>[a-z0-9 ]{2,40})",
     "reserved": r"all rights reserved",
-    "copyright": r"(?:copyright )?(?:c )?(?:copyright )(?:c )?[12][0-9]{3}.{0,120}",
+    "copyright": r"(?:copyright )?(?:c )?(?:copyright )(?:c )?[12][0-9]{3}(?:(?!licen[cs]e|permission).){0,120}",
 }
 
 

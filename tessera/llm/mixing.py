@@ -80,3 +80,11 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     close = rows.where(F.col("bucket") == cut_at).withColumn("more", F.when(upto - F.col("size") / 2.0 <= F.col("extra"), F.lit(1)).otherwise(F.lit(0)))
     both = clear.union(close).withColumn("copies", F.when(F.col("extra") > 0, F.col("more")).otherwise(F.lit(0)) + F.col("whole"))
     return both.select("doc_id", "source", "size", "source_size", "target", F.least("copies", F.lit(epochs)).cast("int").alias("copies"))
+
+
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """docs with each row as often as the mix takes it. Rows that agree in id and size are taken equally often."""
+    copies = mixed(docs, id_col, text_col, **how).groupBy("doc_id", "size").agg(F.max("copies").alias("__copies")).where("__copies > 0").select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), "__copies")
+    rows = docs.withColumn("__words", word_count(F.col(f"`{text_col}`")))
+    rows = rows.join(copies, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & (F.col("__words") == F.col("__size")))
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*(F.col(f"`{c}`") for c in docs.columns))
