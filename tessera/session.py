@@ -11,14 +11,18 @@ import zipfile
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+_RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Sends the package's sources to the executors, once for each application, so that functions pickled by name load there.
 
-    The archive stays until the driver ends, since executors that join later fetch it from the driver.
+    Unless the session sets it, Arrow batches get 1,000 rows rather than 10,000: texts and pages are long, and a batch is
+    in memory on both sides. The archive stays until the driver ends, since executors that join later fetch it from the driver.
     """
     context = spark.sparkContext
+    if spark.conf.get(_RECORDS) == "10000":  # Spark's default
+        spark.conf.set(_RECORDS, "1000")
     if context.applicationId not in _SHIPPED:
         top = pathlib.Path(__file__).resolve().parent
         folder = tempfile.mkdtemp(prefix="tessera-src-")
