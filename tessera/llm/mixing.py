@@ -8,7 +8,7 @@ running sums over one row a source.
 Sampling: target / size = whole + fraction. Each document is taken `whole` times; the fraction goes to the documents
 of least seeded hash until the source's target is met. To find where that is without sorting a source, sizes are
 summed by the top bits of the hash, the running sum finds the one bucket that crosses, and only its few documents are
-put in order.
+put in order. The words then still missing are filled by the one document left whose size is nearest to them.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from .shared import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_BITS = 16
+#: Tables of a row a source are broadcast up to so many rows, about a megabyte.
+FEW_SOURCES = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -50,7 +52,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     Size is the number of words of the text (0 for null, empty or white texts). Sources in code point order, null last
     and a source like any other, get the weights in turn. Rows of one id are alike to the sampling and ordered by size
     where that tells them apart; repeated rows are equal, so which of them is taken doesn't show. A source's words
-    come within one document of its target. An empty table gives an empty result.
+    come within half of one document of its target. An empty table gives an empty result.
     """
     col = lambda c: docs[f"`{c}`"]
     size = word_count(col(text_col))
@@ -71,15 +73,26 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     cut = cut.where("upto > extra").groupBy("source").agg(F.min("bucket").alias("cut"), F.min_by("upto", "bucket").alias("upto"), F.min_by("words", "bucket").alias("words"))
     cut = cut.selectExpr("source AS s", "cut", "upto - words AS under")
     plan = plan.join(cut, same(F.col("source"), F.col("s")), "left").drop("s")
-    rows = sized.join(plan.withColumnRenamed("source", "of").drop("weight"), same(F.col("source"), F.col("of"))).drop("of")
-    cut_at = F.coalesce("cut", F.lit(1 << BUCKET_BITS))
+    # a row a source; where there are few, no document need travel to meet its own
+    plan = stored(plan.withColumnRenamed("source", "of").drop("weight"))
+    plan = F.broadcast(plan) if plan.count() <= FEW_SOURCES else plan
+    rows = sized.join(plan, same(F.col("source"), F.col("of"))).drop("of").withColumn("cut", F.coalesce("cut", F.lit(1 << BUCKET_BITS)))
     in_order = Window.partitionBy("source").orderBy("draw", "doc_id", "size")
-    clear = rows.where(F.col("bucket") != cut_at).withColumn("more", F.when(F.col("bucket") < cut_at, F.lit(1)).otherwise(F.lit(0)))
-    # the document that crosses is taken if that ends nearer to the target
-    upto = F.col("under") + F.sum("size").over(in_order)
-    close = rows.where(F.col("bucket") == cut_at).withColumn("more", F.when(upto - F.col("size") / 2.0 <= F.col("extra"), F.lit(1)).otherwise(F.lit(0)))
-    both = clear.union(close).withColumn("copies", F.when(F.col("extra") > 0, F.col("more")).otherwise(F.lit(0)) + F.col("whole"))
-    return both.select("doc_id", "source", "size", "source_size", "target", F.least("copies", F.lit(epochs)).cast("int").alias("copies"))
+    clear = rows.where("bucket <> cut").withColumn("more", F.when(F.expr("bucket < cut AND extra > 0"), 1).otherwise(0)).withColumn("upto", F.lit(0.0))
+    close = rows.where("bucket = cut").withColumn("upto", F.col("under") + F.sum("size").over(in_order)).withColumn("more", F.when(F.expr("upto <= extra AND extra > 0"), 1).otherwise(0))
+    close = stored(close.select(*clear.columns))
+    # what the crossing document leaves open is filled by one document of about that size, or left if none helps
+    open_ = close.where("more = 1").groupBy("source").agg(F.max("upto").alias("upto"))
+    open_ = plan.where("cut IS NOT NULL AND extra > 0").join(open_.withColumnRenamed("source", "s"), same(F.col("of"), F.col("s")), "left").select("of", (F.col("extra") - F.coalesce("upto", "under")).alias("gap"))
+    open_ = F.broadcast(open_) if open_.count() <= FEW_SOURCES else open_
+    left = clear.where("bucket > cut").unionByName(close.where("more = 0")).select("source", "doc_id", "size", "draw")
+    fill = left.join(open_, same(F.col("source"), F.col("of"))).groupBy("source").agg(F.min_by(F.struct("doc_id", "size", "gap"), F.struct(F.abs(F.col("size") - F.col("gap")), F.col("draw"), F.col("doc_id"))).alias("f"))
+    fill = fill.select(F.col("source").alias("fs"), F.col("f.doc_id").alias("fd"), F.col("f.size").alias("fz"), F.col("f.gap").alias("gap")).where("abs(fz - gap) < gap").drop("gap")
+    fill = stored(fill)
+    fill = F.broadcast(fill) if fill.count() <= FEW_SOURCES else fill
+    both = clear.unionByName(close).join(fill, same(F.col("source"), F.col("fs")) & same(F.col("doc_id"), F.col("fd")) & (F.col("size") == F.col("fz")), "left")
+    copies = F.col("more") + F.when(F.col("fz").isNotNull() & (F.col("more") == 0), 1).otherwise(0) + F.col("whole")
+    return both.select("doc_id", "source", "size", "source_size", "target", F.least(copies, F.lit(epochs)).cast("int").alias("copies"))
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
