@@ -22,6 +22,8 @@ from ..session import ship
 
 
 class SlideReader(Protocol):
+    """What a reader offers. One that can read a smaller level may also have thumbnail(scale)."""
+
     def size(self) -> tuple[int, int]: ...
 
     def region(self, x: int, y: int, w: int, h: int) -> np.ndarray: ...
@@ -38,7 +40,12 @@ class Synthetic:
         return self.width, self.height
 
     def region(self, x: int, y: int, w: int, h: int) -> np.ndarray:
-        yy, xx = np.mgrid[y : y + h, x : x + w].astype(np.int64)
+        return self._at(*np.mgrid[y : y + h, x : x + w].astype(np.int64))
+
+    def thumbnail(self, scale: int) -> np.ndarray:
+        return self._at(*np.mgrid[0 : self.height // scale * scale : scale, 0 : self.width // scale * scale : scale].astype(np.int64))
+
+    def _at(self, yy: np.ndarray, xx: np.ndarray) -> np.ndarray:
         noise = (xx * 7919 + yy * 104729 + self.key * 31) % 23
         inside = ((2 * xx - self.width) * 10 // max(self.width, 1)) ** 2 + ((2 * yy - self.height) * 10 // max(self.height, 1)) ** 2 < 49
         out = np.where(inside[..., None], np.stack([190 - noise * 3, 90 + noise, 160 - noise * 2], -1), np.stack([238 - noise % 5] * 3, -1))
@@ -133,7 +140,7 @@ def thumbnails(slides: DataFrame, reader: str = "synthetic") -> DataFrame:
                     slide = kind(cols["slide_id"][i], cols["width"][i], cols["height"][i], b.column("content")[i].as_py() if has_content else None)
                     w, h = slide.size()
                     step = max(1, (1 << 20) // max(1, w * s)) * s  # bands of about a million pixels
-                    bands = [slide.region(0, y, w // s * s, min(step, h // s * s - y))[::s, ::s] for y in range(0, h // s * s, step)]
+                    bands = [slide.thumbnail(s)] if hasattr(slide, "thumbnail") else [slide.region(0, y, w // s * s, min(step, h // s * s - y))[::s, ::s] for y in range(0, h // s * s, step)]
                 except Exception:
                     continue
                 y0 = 0
@@ -143,7 +150,8 @@ def thumbnails(slides: DataFrame, reader: str = "synthetic") -> DataFrame:
                     n = xx.size
                     yield pa.RecordBatch.from_arrays([pa.array([cols["slide_id"][i]] * n), pa.array(xx.ravel().astype(np.int32)), pa.array(yy.ravel().astype(np.int32)), *(pa.array(image[..., k].ravel().astype(np.int16)) for k in range(3))], ["slide_id", "x", "y", "r", "g", "b"])
 
-    return slides.mapInArrow(run, schema.PIXELS)
+    # a row is little data and much work, so rows are dealt out by number and not merged again
+    return slides.repartition(slides.sparkSession.sparkContext.defaultParallelism, "slide_id").mapInArrow(run, schema.PIXELS)
 
 
 class SyntheticSlides(DataSource):
