@@ -205,7 +205,8 @@ def _probe(index, plan: Plan, width: int, own_rows: np.ndarray, k: int):
 
 
 def cosines(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Cosine of row pairs, each summed in the same order whatever the rows around it."""
+    """Cosine of row pairs, each summed in the same order whatever the rows around it. Rows are first scaled by powers of two, which changes no digit and keeps squares in range."""
+    q, v = (np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None]) for x in (q, v))
     return np.einsum("ij,ij->i", q, v) / (np.sqrt(np.einsum("ij,ij->i", q, q)) * np.sqrt(np.einsum("ij,ij->i", v, v)))
 
 
