@@ -81,7 +81,7 @@ RULES = (
 _KNOWN = [(name, re.compile(pattern)) for name, pattern in SENTENCES.items()]
 #: A sentence without any of these words matches no pattern, and most texts have none at all.
 _HINT = re.compile(r"licen[cs]e|permission|redistribut|copyright|warrant|reserved|creative commons|\bcc\b|\bcc0|gnu|notice|mozilla|applicable law|neither the name|\bmit\b|software", re.I)
-_END = re.compile(r"(?<=[.!?;:])[\x20\x09-\x0D]+|\n[\x20\x09]*\n[\x20\x09-\x0D]*")
+_END = re.compile(r"(?<=[.!?;])[\x20\x09-\x0D]+|(?<=:)[\x20\x09]*\n[\x20\x09-\x0D]*|\n[\x20\x09]*\n[\x20\x09-\x0D]*")
 _LINE = re.compile(r"\n")
 _OTHER = re.compile(r"[\W_]+")
 #: No known sentence is longer, so longer ones needn't be normalised.
