@@ -38,6 +38,8 @@ from .shared import components, partitions, picked, stored
 
 #: A shingle in more than one of so many documents is frequent; at most FREQUENT_MOST of them are listed.
 FREQUENT_ONE_IN, FREQUENT_MOST = 500, 1 << 18
+#: The bit map of documents left has so many bits (8 MB); it tells fewer apart as it fills, which costs transfers, not results.
+MAP_BITS = 26
 _LOW40 = np.uint64((1 << 40) - 1)
 _TOP = np.uint64(1 << 63)
 
@@ -55,7 +57,7 @@ def _identity(sets: list[np.ndarray]) -> np.ndarray:
     return words.mix(total[ends] - total[starts] + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], most: int = 6 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that their texts hold about `most` bytes."""
     for b in batches:
         _, at = words.buffers(b.column("text"))
@@ -189,6 +191,16 @@ def _prefixes(n_words: int, threshold: int, frequent):
     return run
 
 
+def _marked(marks):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = b.column("h").to_numpy()
+            b = b.filter(pa.array(marks.value[h >> 6] >> (h & 63) & 1 == 1))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("text")], ["doc_id", "text"])
+
+    return run
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     if len(a) > len(b):
         a, b = b, a
@@ -301,8 +313,13 @@ def set_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     left = sets.join(seen, "gid", "left").where(F.col("counted") - F.coalesce("frequent", F.lit(0)) - F.coalesce("shared", F.lit(0)) < need)
     left = stored(left.select("gid", "doc_id"))
     lists = shared.where("token >= 0").join(left.select("gid"), "gid", "left_semi").groupBy("gid").agg(F.collect_list(F.struct("token", "df")).alias("shared"))
-    # doc_id may repeat, so the set is checked again once the texts are here
-    texts = docs.join(left.withColumnRenamed("doc_id", "one"), F.col("doc_id") == F.col("one")).select("gid", "text").join(lists, "gid", "left")
+    # texts of other documents stay where they are: a bit map of fixed size tells most of them, the join the rest
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MAP_BITS))
+    bits = left.select(place.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(h & 63)))").alias("bits")).collect()
+    marks = np.zeros(1 << (MAP_BITS - 6), np.int64)
+    marks[[r.word for r in bits]] = [r.bits for r in bits]
+    near = docs.withColumn("h", place).mapInArrow(_marked(spark.sparkContext.broadcast(marks)), "doc_id long, text string")
+    texts = near.join(left.join(lists, "gid", "left").withColumnRenamed("doc_id", "one"), F.col("doc_id") == F.col("one")).select("gid", "text", "shared")
     known = texts.mapInArrow(_prefixes(n_words, threshold, frequent), "gid long, n long, grp long, prefix array<long>, places array<long>, members binary")
     known = stored(known.where("n > 0").dropDuplicates(["gid"]))
 
