@@ -46,8 +46,11 @@ register("moments", _moments)
 register("empty", lambda: lambda batch: np.zeros((len(batch), 2048), np.float32))
 
 
-def encode(tiles: DataFrame, extractor: str = "moments", batch_size: int = 16, side: int = 224) -> DataFrame:
-    """tiles without their pixels, with features array<float>. A null tile has null features."""
+def encode(tiles: DataFrame, extractor: str = "moments", batch_size: int = 16, side: int = 224, high_quality: bool = False) -> DataFrame:
+    """tiles without their pixels, with features array<float>. A null tile has null features.
+
+    high_quality: also features_high, the layer before the last, of encoders that give a pair (features, layer before); null of others.
+    """
     if extractor not in _ENCODERS:
         raise ValueError(f"no such encoder: {extractor}; registered are {', '.join(sorted(_ENCODERS))}")
     load = _ENCODERS[extractor]
@@ -57,16 +60,19 @@ def encode(tiles: DataFrame, extractor: str = "moments", batch_size: int = 16, s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _LOADED.setdefault(extractor, load())
         for b in batches:
-            raws, sizes, out = b.column("tile").to_pylist(), b.column("size").to_pylist(), [None] * b.num_rows
+            raws, sizes, out, high = b.column("tile").to_pylist(), b.column("size").to_pylist(), [None] * b.num_rows, [None] * b.num_rows
             some = [i for i, raw in enumerate(raws) if raw is not None]
             for a in range(0, len(some), batch_size):
                 own = some[a : a + batch_size]
-                for i, v in zip(own, model(np.stack([network_input(_image(raws[i], sizes[i]), side) for i in own])), strict=True):
-                    out[i] = np.asarray(v, np.float32).ravel().tolist()
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(out, pa.list_(pa.float32()))], [*names, "features"])
+                got = model(np.stack([network_input(_image(raws[i], sizes[i]), side) for i in own]))
+                for vectors, into in zip(got if isinstance(got, tuple) else (got,), (out, high), strict=False):
+                    for i, v in zip(own, vectors, strict=True):
+                        into[i] = np.asarray(v, np.float32).ravel().tolist()
+            lists = [pa.array(x, pa.list_(pa.float32())) for x in ((out, high) if high_quality else (out,))]
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), *lists], [*names, "features", "features_high"][: len(names) + len(lists)])
 
     rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tiles.schema.fields if f.name in names)
-    return tiles.select(*names, "size", "tile").mapInArrow(run, f"{rest}, features array<float>")
+    return tiles.select(*names, "size", "tile").mapInArrow(run, f"{rest}, features array<float>" + (", features_high array<float>" if high_quality else ""))
 
 
 def encode_augmented(tiles: DataFrame, copies: int, **how) -> DataFrame:

@@ -56,7 +56,7 @@ def plan(slides: DataFrame, config: RunConfig, reader: str = "synthetic") -> Run
     kept = tiles.apply(raw, steps)
     features = None
     if config.encode:
-        features = encode.encode_augmented(kept, config.augmentations, extractor=config.feature_extractor, batch_size=config.encode_batch) if config.augmentations else encode.encode(kept.select("slide_id", "x", "y", "size", "tile"), config.feature_extractor, config.encode_batch)
+        features = encode.encode_augmented(kept, config.augmentations, extractor=config.feature_extractor, batch_size=config.encode_batch) if config.augmentations else encode.encode(kept.select("slide_id", "x", "y", "size", "tile"), config.feature_extractor, config.encode_batch, high_quality=config.extract_high_quality)
     return Run(good, masks, rated, kept, reports.error_rows(checked), features)
 
 

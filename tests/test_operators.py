@@ -169,6 +169,9 @@ def test_steps_and_encoders(spark):
     a = encode.encode_augmented(t.where("x < 2"), 2, side=16).collect()
     assert all(len(r.features) == 3 for r in a) and a[0].features[0] == pytest.approx(f[a[0].x])
     assert len(encode.encode(t.limit(1), "empty").first().features) == 2048
+    encode.register("pair", lambda: lambda batch: (batch.mean(axis=(2, 3)), batch[:, :, 0, 0]))
+    pair = encode.encode(t, "pair", side=16, high_quality=True).where("x = 0").first()
+    assert len(pair.features) == len(pair.features_high) == 3
     with pytest.raises(ValueError):
         encode.encode(t, "nothing")
     with pytest.raises(ValueError):
