@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding over a lattice of substrings.
 
 A text is cut where no piece of the model can span: between two characters that stand together in no piece. The atoms
-that remain are encoded one by one, each distinct atom once a slice of the input.
+that remain are encoded one by one, each distinct atom about once a task: a task remembers so many of those it met.
 
 1. Lattice: the substrings of each distinct atom, of length 2 to the longest piece, are exploded by hash and equi-joined
    to the piece table; edges are grouped by atom, best score first. This is columnar and local to a slice, since words
@@ -33,8 +33,8 @@ from .words import mix
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
-#: Characters of an atom that fit the mask; characters of a slice; atoms in a row of the lattice.
-WIDEST, SLICE, ATOMS = 62, 3 << 20, 2048
+#: Characters of an atom that fit the mask; characters of a slice; atoms in a row of the lattice; atoms that a task remembers.
+WIDEST, SLICE, ATOMS, REMEMBERED = 62, 3 << 19, 2048, 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MODELS: dict = {}
@@ -123,6 +123,8 @@ class Pieces:
                 self.raw[i] = bytes([value])
         self.up, self.down = _powers(_BASE, 1 << 12), _powers(_INVERSE, 1 << 12)
         self.by_text = {self.texts[i]: i for i in usable}
+        # pieces of equal score have equal rank; the best is 0
+        self.rank = np.unique(-self.scores, return_inverse=True)[1].reshape(-1).astype(np.int64)
 
     def _hash(self, text: str) -> np.uint64:
         chars = np.array([ord(c) for c in text])
@@ -191,7 +193,7 @@ class Pieces:
         ids = [int(self.byte_ids[x]) for x in text.encode("utf-8", "replace")]
         return ids if min(ids) >= 0 else [self.unknown]
 
-    def decode(self, ids) -> str:
+    def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if self.prefix and text[:1] == " " else text
 
@@ -231,27 +233,28 @@ class _Slice:
 
     rows: np.ndarray  # the first atom of each text, and one more at the end
     which: np.ndarray  # the distinct atom at each place
+    keys: np.ndarray  # hashes of the distinct atoms, in order
     chars: np.ndarray  # of the distinct atoms, one after the other
     starts: np.ndarray
     sizes: np.ndarray
-    folded: np.ndarray  # distinct atoms that the fold encodes
+    by_fold: np.ndarray  # whether the fold can encode a distinct atom
 
 
 def cut(pieces: Pieces, texts: list[str]) -> _Slice:
     full = [(SPACE if pieces.prefix and t else "") + t.replace(" ", SPACE) for t in texts]
-    chars = np.frombuffer("".join(full).encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+    chars = np.frombuffer("".join(full).encode("utf-32-le", "replace"), np.uint32).astype(np.int32)
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in full])]).astype(np.int64)
     if not len(chars):
         none = np.empty(0, np.int64)
-        return _Slice(np.zeros(len(offsets), np.int64), none, none, none, none, none)
-    kind = pieces.kind[chars].astype(np.int64)
+        return _Slice(np.zeros(len(offsets), np.int64), none, none.astype(np.uint64), none, none, none, none.astype(bool))
+    kind = pieces.kind[chars]
     edge = np.ones(len(chars), bool)
-    edge[1:] = ~pieces.joined[kind[:-1] * pieces.kinds + kind[1:]]
+    edge[1:] = ~pieces.joined[kind[:-1] * np.int32(pieces.kinds) + kind[1:]]
     edge[offsets[offsets < len(chars)]] = True
     starts = np.flatnonzero(edge)
     ends = np.append(starts[1:], len(chars))
     rows = np.searchsorted(starts, offsets)
-    _, first, which = np.unique(pieces.of(pieces.hashes(chars), starts, ends), return_index=True, return_inverse=True)
+    keys, first, which = np.unique(pieces.of(pieces.hashes(chars), starts, ends), return_index=True, return_inverse=True)
     starts, sizes = starts[first], (ends - starts)[first]
     own = chars[_ranges(starts, sizes)]
     at = np.cumsum(sizes) - sizes
@@ -260,12 +263,42 @@ def cut(pieces: Pieces, texts: list[str]) -> _Slice:
     double[2:] = inner[1:] & inner[:-1]
     double = np.cumsum(double)
     runs = double[at + sizes] - double[at + np.minimum(1, sizes)] > 0
-    return _Slice(rows, which.reshape(-1), own, at, sizes, np.flatnonzero((sizes > 1) & (sizes <= WIDEST) & ~runs))
+    return _Slice(rows, which.reshape(-1), keys, own, at, sizes, (sizes > 1) & (sizes <= WIDEST) & ~runs)
 
 
-def lattice(pieces: Pieces, s: _Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Edges of the folded atoms, grouped by atom, best score first and then from the left: number of each atom's edges, their ends and inner boundaries as masks, and the pieces."""
-    atoms = s.folded
+def _held(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Whether each of wanted is among the sorted keys."""
+    return keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted if len(keys) else np.zeros(len(wanted), bool)
+
+
+class Memory:
+    """The atoms a task has met, with their pieces on the side that assembles. Both sides of the fold follow the same rule, so they agree on which atoms are new."""
+
+    def __init__(self) -> None:
+        self.keys, self.begin, self.count, self.flat = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+
+    def new(self, s: _Slice) -> np.ndarray:
+        return np.flatnonzero(~_held(self.keys, s.keys))
+
+    def add(self, s: _Slice, new: np.ndarray, count: np.ndarray | None = None, flat: np.ndarray | None = None) -> None:
+        """Takes in the new atoms of a slice; when that is too many, only the slice's own stay."""
+        keys = np.concatenate([self.keys, s.keys[new]])
+        order = np.argsort(keys, kind="stable")
+        if len(keys) > REMEMBERED:
+            order = order[_held(s.keys, keys[order])]
+        if count is not None:
+            begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(count) - count])[order]
+            self.count = np.concatenate([self.count, count])[order]
+            self.flat = np.concatenate([self.flat, flat])
+            if len(keys) > REMEMBERED:
+                self.flat = self.flat[_ranges(begin, self.count)]
+                begin = np.cumsum(self.count) - self.count
+            self.begin = begin
+        self.keys = keys[order]
+
+
+def lattice(pieces: Pieces, s: _Slice, atoms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Edges of these atoms, grouped by atom, best score first and then from the left: number of each atom's edges, their ends and inner boundaries as masks, and the pieces."""
     chars = s.chars[_ranges(s.starts[atoms], s.sizes[atoms])]
     owner = np.repeat(np.arange(len(atoms)), s.sizes[atoms])
     at = np.cumsum(s.sizes[atoms]) - s.sizes[atoms]
@@ -280,7 +313,8 @@ def lattice(pieces: Pieces, s: _Slice) -> tuple[np.ndarray, np.ndarray, np.ndarr
         p, ids = p[ids >= 0], ids[ids >= 0]
         found.append((owner[p], place[p], np.full(len(p), n), ids))
     own, start, n, ids = (np.concatenate(x) if found else np.empty(0, np.int64) for x in (zip(*found, strict=True) if found else [()] * 4))
-    order = np.lexsort((n, start, -pieces.scores[ids], own))
+    # one number to sort by: atom, rank, start (6 bits), length
+    order = np.argsort(((own * np.int64(len(pieces.rank)) + pieces.rank[ids]) << 6 | start) * np.int64(pieces.longest + 1) + n)
     own, start, n, ids = own[order], start[order], n[order], ids[order]
     one = np.int64(1)
     ends = (one << start) | (one << (start + n))
@@ -333,11 +367,14 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _open(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load(path)
+        pieces, memory = load(path), Memory()
         for k, b in enumerate(_slices(batches)):
             s = cut(pieces, [t or "" for t in b.column("text").to_pylist()])
-            counts, ends, inner, _ = lattice(pieces, s)
-            masks, cuts = (np.int64(1) << (s.sizes[s.folded] + 1)) - 1, np.concatenate([[0], np.cumsum(counts)])
+            new = memory.new(s)
+            memory.add(s, new)
+            atoms = new[s.by_fold[new]]
+            counts, ends, inner, _ = lattice(pieces, s, atoms)
+            masks, cuts = (np.int64(1) << (s.sizes[atoms] + 1)) - 1, np.concatenate([[0], np.cumsum(counts)])
             for a in range(0, len(masks), ATOMS):
                 z = min(a + ATOMS, len(masks))
                 edges = pa.StructArray.from_arrays([pa.array(ends[cuts[a] : cuts[z]]), pa.array(inner[cuts[a] : cuts[z]])], ["ends", "inner"])
@@ -354,66 +391,65 @@ def _row(k: int, ids, texts, masks: pa.Array, edges: pa.Array) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(np.full(n, k)), pa.array(ids, pa.int64()) if isinstance(ids, list) else ids, pa.array(texts, pa.string()) if isinstance(texts, list) else texts, masks, edges.cast(_EDGES)], ["slice", "doc_id", "text", "masks", "edges"])
 
 
-def assemble(pieces: Pieces, texts: list[str], masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pieces of all texts one after the other, and where each text's begin, from the boundaries of the folded atoms."""
-    s = cut(pieces, texts)
-    size, own_ids, own_at = s.sizes, [], []
-    # the folded atoms: substrings between boundaries
-    bits = np.zeros(0, np.int64)
-    parts_atom = parts_start = parts_end = bits
-    if len(s.folded):
-        width = int(size[s.folded].max()) + 1
-        on = (masks[:, None] >> np.arange(width)) & 1 == 1
-        atom, place = np.nonzero(on)
-        last = place == size[s.folded][atom]
-        nxt = np.append(place[1:], 0)
-        parts_atom, parts_start, parts_end = s.folded[atom[~last]], place[~last], nxt[~last]
-    # all others of one character
-    one = np.flatnonzero(size == 1)
-    atom = np.concatenate([parts_atom, one])
-    start = np.concatenate([parts_start, np.zeros(len(one), np.int64)])
-    end = np.concatenate([parts_end, np.ones(len(one), np.int64)])
-    order = np.lexsort((start, atom))
-    atom, start, end = atom[order], start[order], end[order]
-    a, z = s.starts[atom] + start, s.starts[atom] + end
-    ids = np.where(z - a == 1, pieces.single[s.chars[np.minimum(a, max(len(s.chars) - 1, 0))]], -1).astype(np.int64) if len(a) else np.empty(0, np.int64)
-    long = np.flatnonzero(z - a > 1)
-    if len(long):
-        ids[long] = pieces.found(pieces.of(pieces.hashes(s.chars), a[long], z[long]))
-    # what has no piece, and the atoms left to the queue, are spelt out
+def encoded(pieces: Pieces, s: _Slice, new: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number and ids of the pieces of the new atoms, from the boundaries of those that the fold encoded."""
+    size = s.sizes
+    atoms, one = new[s.by_fold[new]], new[size[new] == 1]
+    # substrings between boundaries, and the atoms of one character
+    place = np.empty(0, np.int64)
+    atom = end = place
+    if len(atoms):
+        which, place = np.nonzero((masks[:, None] >> np.arange(int(size[atoms].max()) + 1)) & 1 == 1)
+        last = place == size[atoms][which]
+        atom, end, place = atoms[which[~last]], np.append(place[1:], 0)[~last], place[~last]
+    atom = np.concatenate([atom, one])
+    a = s.starts[atom] + np.concatenate([place, np.zeros(len(one), np.int64)])
+    z = s.starts[atom] + np.concatenate([end, np.ones(len(one), np.int64)])
+    order = np.argsort(atom, kind="stable")
+    atom, a, z = atom[order], a[order], z[order]
+    ids = np.full(len(atom), -1, np.int32)
+    short = z - a == 1
+    ids[short] = pieces.single[s.chars[a[short]]]
+    if not short.all():
+        ids[~short] = pieces.found(pieces.of(pieces.hashes(s.chars), a[~short], z[~short]))
+    # what has no piece is spelt in bytes, and what the fold can't take goes to the queue
     spelt = {int(k): pieces.symbol("".join(map(chr, s.chars[a[k] : z[k]]))) for k in np.flatnonzero(ids < 0)}
-    queue = np.flatnonzero(size > 1)
-    queue = queue[~np.isin(queue, s.folded)]
     lengths = np.ones(len(ids), np.int64)
     for k, v in spelt.items():
         lengths[k] = len(v)
-    flat = np.repeat(ids, lengths)
-    at = np.cumsum(lengths) - lengths
+    flat, at = np.repeat(ids, lengths), np.cumsum(lengths) - lengths
     for k, v in spelt.items():
         flat[at[k] : at[k] + len(v)] = v
     count = np.bincount(atom, weights=lengths, minlength=len(size)).astype(np.int64)
-    begin = np.cumsum(count) - count
-    tail = len(flat)
-    for k in queue:
+    begin, tail, rest = np.cumsum(count) - count, len(flat), []
+    for k in new[(size[new] > 1) & ~s.by_fold[new]]:
         v = pieces.merged("".join(map(chr, s.chars[s.starts[k] : s.starts[k] + size[k]])))
-        own_ids += v
-        count[k], begin[k] = len(v), tail
-        tail += len(v)
-    flat = np.concatenate([flat, np.array(own_ids, np.int64)])
-    del own_at
-    ends = np.concatenate([[0], np.cumsum(count[s.which])])
-    return flat[_ranges(begin[s.which], count[s.which])].astype(np.int32), ends[s.rows]
+        count[k], begin[k], tail = len(v), tail, tail + len(v)
+        rest += v
+    flat = np.concatenate([flat, np.array(rest, np.int32)])
+    return count[new], flat[_ranges(begin[new], count[new])]
+
+
+def assemble(pieces: Pieces, texts: list[str], masks: np.ndarray, memory: Memory) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of all texts one after the other, and where each text's begin."""
+    s = cut(pieces, texts)
+    new = memory.new(s)
+    memory.add(s, new, *encoded(pieces, s, new, masks))
+    at = np.searchsorted(memory.keys, s.keys)[s.which]
+    count = memory.count[at]
+    ends = np.concatenate([[0], np.cumsum(count)])
+    return memory.flat[_ranges(memory.begin[at], count)], ends[s.rows]
 
 
 def _close(path: str | None, check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, now, masks, ids, texts = load(path), None, [], [], []
+        pieces, memory, now, masks, ids, texts = load(path), Memory(), None, [], [], []
 
         def done() -> Iterator[pa.RecordBatch]:
             if ids:
-                flat, at = assemble(pieces, [t or "" for t in texts], np.concatenate([*masks, np.empty(0, np.int64)]).astype(np.int64))
+                flat, at = assemble(pieces, [t or "" for t in texts], np.concatenate([*masks, np.empty(0, np.int64)]).astype(np.int64), memory)
                 out = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat))
-                ok = [pieces.decode(flat[a:z]) == (t or "") if check else None for a, z, t in zip(at[:-1].tolist(), at[1:].tolist(), texts, strict=True)]
+                ok = [pieces.decode(flat[a:z].tolist()) == (t or "") if check else None for a, z, t in zip(at[:-1].tolist(), at[1:].tolist(), texts, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), out, pa.array(ok, pa.bool_())], ["doc_id", "ids", "round_trip"])
 
         for b in batches:
