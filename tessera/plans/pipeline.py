@@ -43,11 +43,9 @@ def plan(slides: DataFrame, config: RunConfig, reader: str = "synthetic") -> Run
     masks = mask.tissue_mask(pixels, names, config.red_pen_thresh, config.blue_pen_thresh, compat=config.compat)
     every = grid.tile_grid(good, config.overlap)
     rated = tissue.with_validity(every.select("slide_id", "x", "y", "size", "scale"), masks, config.tissue_threshold)
-    wanted = rated.where("is_valid").select("slide_id", "x", "y", "size").join(good.drop("size", "path", "error", "step"), "slide_id")
-    # a slide's tiles in blocks of their own: a slide of many tiles keeps many tasks busy, and each opens it once
-    n = int(slides.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = wanted.repartition(n, "slide_id", F.floor(F.col("y") / (F.col("size") * 16))).sortWithinPartitions("slide_id", "y", "x")
-    raw = reading.read_regions(wanted.withColumn("original_size", F.struct(F.col("size").alias("w"), F.col("size").alias("h"))), reader, config.desired_size, config.resampler)
+    # tiles travel as blocks of origins; pixels are made where they are used
+    blocks = reading.in_blocks(rated.where("is_valid"), good.drop("path", "error", "step"))
+    raw = reading.read_regions(blocks, reader, config.desired_size, config.resampler)
     steps = []
     if config.remove_blurry_tiles:
         steps.append(tiles.step("blur", threshold=config.blur_threshold))

@@ -86,43 +86,61 @@ def register(name: str, reader: type) -> None:
     _READERS[name] = reader
 
 
-def read_regions(tiles: DataFrame, reader: str = "synthetic", side: int | None = None, resampler: str = "bilinear") -> DataFrame:
-    """tiles (slide_id, x, y, size, width, height, and content where the reader needs it) with tile as bytes, of the given side, and error.
+def in_blocks(tiles: DataFrame, slides: DataFrame, rows: int = 16) -> DataFrame:
+    """A row for each slide and each `rows` rows of its tiles, with origins, and the slide's own columns (and content).
 
-    Slides come as runs of rows, so each is opened about once a task; order rows by slide before where they aren't.
+    A slide's bytes then travel once a block, not once a tile; a block holds at most rows x columns origins.
+    """
+    block = F.floor(F.col("y") / (F.col("size") * rows)).alias("block")
+    own = tiles.groupBy("slide_id", "size", block).agg(F.sort_array(F.collect_list(F.struct("y", "x"))).alias("origins"))
+    n = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return own.join(slides.drop("size"), "slide_id").repartition(n, "slide_id", "block").sortWithinPartitions("slide_id")
+
+
+def read_regions(blocks: DataFrame, reader: str = "synthetic", side: int | None = None, resampler: str = "bilinear") -> DataFrame:
+    """Tiles of blocks (slide_id, size, origins, width, height, content where the reader needs it, further columns), one a row.
+
+    Out come the further columns, x, y, original_size, size, tile (bytes, at the given side) and error. What can't be read
+    has a null tile and an error. A run of blocks of one slide opens it once.
     """
     kind = _READERS[reader]
-    ship(tiles.sparkSession)
-    names = [c for c in tiles.columns if c not in ("size", "tile", "error", "content", "width", "height")]
-    has_content = "content" in tiles.columns
+    ship(blocks.sparkSession)
+    names = [c for c in blocks.columns if c not in ("size", "origins", "tile", "error", "content", "width", "height", "block", "x", "y", "original_size")]
+    has_content = "content" in blocks.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: tuple[str | None, object] = (None, None)
         for b in batches:
-            images, sizes, errors = [], [], []
-            cols = {c: b.column(c).to_pylist() for c in ("slide_id", "x", "y", "size", "width", "height")}
-            content = b.column("content") if has_content else [None] * b.num_rows
+            cols = {c: b.column(c).to_pylist() for c in ("slide_id", "size", "width", "height")}
             for i in range(b.num_rows):
-                try:
-                    one = cols["slide_id"][i]
-                    if opened[0] != one:
-                        raw = content[i].as_py() if has_content else None
-                        opened = (one, kind(one, cols["width"][i], cols["height"][i], raw))
-                    n = cols["size"][i]
-                    image = opened[1].region(cols["x"][i], cols["y"][i], n, n)
-                    image = image if side is None else kernels.resized(image, side, resampler)
-                    images.append(image.tobytes())
-                    sizes.append(image.shape[0])
-                    errors.append(None)
-                except Exception as e:  # a broken slide is a row of the error report
-                    opened = (None, None)
-                    images.append(None)
-                    sizes.append(None)
-                    errors.append(f"{type(e).__name__}: {e}"[:500])
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(sizes, pa.int32()), pa.array(images, pa.binary()), pa.array(errors, pa.string())], [*names, "size", "tile", "error"])
-
-    rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tiles.schema.fields if f.name in names)
-    return tiles.mapInArrow(run, f"{rest}, size int, tile binary, error string")
+                one, n, rows, failed = cols["slide_id"][i], cols["size"][i], [], None
+                if opened[0] != one:
+                    try:
+                        opened = (one, kind(one, cols["width"][i], cols["height"][i], b.column("content")[i].as_py() if has_content else None))
+                    except Exception as e:  # a broken slide is a row of the error report
+                        opened, failed = (None, None), f"{type(e).__name__}: {e}"[:500]
+                for at in b.column("origins")[i].as_py():
+                    image, error = None, failed
+                    if failed is None:
+                        try:
+                            image = opened[1].region(at["x"], at["y"], n, n)
+                            image = image if side is None else kernels.resized(image, side, resampler)
+                        except Exception as e:
+                            image, error = None, f"{type(e).__name__}: {e}"[:500]
+                    rows.append((at["x"], at["y"], {"w": n, "h": n}, None if image is None else image.shape[0], None if image is None else image.tobytes(), error))
+                    if len(rows) == 256:
+                        yield batch(b, i, rows)
+                        rows = []
+                if rows:
+                    yield batch(b, i, rows)
+
+    def batch(b: pa.RecordBatch, i: int, rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int32(), pa.int32(), pa.struct([("w", pa.int32()), ("h", pa.int32())]), pa.int32(), pa.binary(), pa.string())
+        same = pa.array([i] * len(rows))
+        return pa.RecordBatch.from_arrays([*(b.column(n).take(same) for n in names), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], [*names, "x", "y", "original_size", "size", "tile", "error"])
+
+    rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in blocks.schema.fields if f.name in names)
+    return blocks.mapInArrow(run, f"{rest}, x int, y int, original_size struct<w:int,h:int>, size int, tile binary, error string")
 
 
 def thumbnails(slides: DataFrame, reader: str = "synthetic") -> DataFrame:
@@ -186,11 +204,6 @@ def register_source(spark: SparkSession) -> None:
     spark.dataSource.register(SyntheticSlides)
 
 
-def with_content(slides: DataFrame) -> DataFrame:
-    """slides (path) with their files' bytes, from any store that Spark reads."""
-    paths = [r.path for r in slides.select("path").distinct().limit(10_001).collect()]
-    if len(paths) > 10_000:
-        raise ValueError("list at most 10,000 raster slides at once, or read their folder with binaryFile and join it")
-    files = slides.sparkSession.read.format("binaryFile").load(paths).select(F.col("path").alias("__path"), "content")
-    name = lambda c: F.regexp_replace(c, r"^file:/+", "/")
-    return slides.join(files, name(F.col("path")) == name(F.col("__path"))).drop("__path")
+def raster_slides(spark: SparkSession, folder: str) -> DataFrame:
+    """(slide_id, path, content) of the raster files in a folder of any store that Spark reads, one row a file. Files over 2 GB don't fit a row and need a reader of their own."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.ppm").load(folder).select(F.substring_index(F.element_at(F.split("path", "/"), -1), ".", 1).alias("slide_id"), "path", "content")

@@ -133,9 +133,10 @@ def test_ppm_png_and_broken_slides(spark, tmp_path):
     image = rng.integers(0, 256, (20, 24, 3)).astype(np.uint8)
     (tmp_path / "a.ppm").write_bytes(b"P6\n24 20\n255\n" + image.tobytes())
     (tmp_path / "b.ppm").write_bytes(b"P6 broken")
-    s = spark.createDataFrame([("a", str(tmp_path / "a.ppm")), ("b", str(tmp_path / "b.ppm"))], "slide_id string, path string")
-    full = slides.with_content(s).withColumns({"x": F.lit(16), "y": F.lit(8), "size": F.lit(12), "width": F.lit(24), "height": F.lit(20)})
-    got = {r.slide_id: r for r in slides.read_regions(full, "ppm").collect()}
+    s = slides.raster_slides(spark, str(tmp_path)).withColumns({"width": F.lit(24), "height": F.lit(20)})
+    t = spark.createDataFrame([(n, 16, 8, 12) for n in "ab"], "slide_id string, x int, y int, size int")
+    got = {r.slide_id: r for r in slides.read_regions(slides.in_blocks(t, s), "ppm").collect()}
+    assert (got["a"].x, got["a"].y, got["a"].original_size.w) == (16, 8, 12)
     tile = np.frombuffer(got["a"].tile, np.uint8).reshape(12, 12, 3)
     assert (tile[:, :8] == image[8:20, 16:24]).all() and (tile[:, 8:] == 255).all()
     assert got["b"].tile is None and "raster" in got["b"].error
