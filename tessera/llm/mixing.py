@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .shared import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET_BITS = 16
+BUCKET_BITS = 12
 #: Tables of a row a source are broadcast up to so many rows, about a megabyte.
 FEW_SOURCES = 10_000
 
