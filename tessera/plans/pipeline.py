@@ -7,6 +7,7 @@ read, checked, normalised and encoded in one stage.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -28,8 +29,12 @@ class Run:
     features: DataFrame | None = None
 
 
-def plan(slides: DataFrame, config: RunConfig, reader: str = "synthetic") -> Run:
-    """The lazy plan over SLIDES (with content, for raster readers)."""
+def plan(slides: DataFrame, config: RunConfig, reader: str = "synthetic", keep: Callable[[str, DataFrame], DataFrame] = lambda name, table: table) -> Run:
+    """The plan over SLIDES (with content, for raster readers).
+
+    keep(name, table) may write a table and give it back read: the masks and the rated grid are small beside the pixels and
+    have several readers. By default the plan stays lazy.
+    """
     headers = resolution.header(slides, config.compat, config.set_standard_magnification, config.set_standard_mpp)
     checked = resolution.checked(headers, config.desired_magnification)
     if config.sizing_scale == "mpp":
@@ -40,9 +45,9 @@ def plan(slides: DataFrame, config: RunConfig, reader: str = "synthetic") -> Run
     good = checked.where("error IS NULL").withColumns({"size": size, "scale": mask.mask_scale(last, config.mask_scale)})
     names = config.masks + (("folds",) if config.remove_folds and "folds" not in config.masks else ())
     pixels = reading.thumbnails(good, reader)
-    masks = mask.tissue_mask(pixels, names, config.red_pen_thresh, config.blue_pen_thresh, compat=config.compat)
+    masks = keep("masks", mask.tissue_mask(pixels, names, config.red_pen_thresh, config.blue_pen_thresh, compat=config.compat))
     every = grid.tile_grid(good, config.overlap)
-    rated = tissue.with_validity(every.select("slide_id", "x", "y", "size", "scale"), masks, config.tissue_threshold)
+    rated = keep("grid", tissue.with_validity(every.select("slide_id", "x", "y", "size", "scale"), masks, config.tissue_threshold))
     # tiles travel as blocks of origins; pixels are made where they are used
     blocks = reading.in_blocks(rated.where("is_valid"), good.drop("path", "error", "step"))
     raw = reading.read_regions(blocks, reader, config.desired_size, config.resampler)
@@ -72,12 +77,18 @@ def summary(run: Run, kept: DataFrame | None = None, times: dict[str, float] | N
 
 
 def execute(slides: DataFrame, config: RunConfig, reader: str = "synthetic", finished: DataFrame | None = None) -> dict:
-    """Runs the plan to config.output_path: tiles, features, summary, errors. Slides that are finished (slide_id) are skipped."""
+    """Runs the plan to config.output_path: masks, grid, tiles, features, summary, errors. Slides that are finished (slide_id) are skipped."""
     from ..sources import sinks, manifest
 
     todo = reports.unfinished(slides, finished, "slide_id") if finished is not None else slides
-    run, spark, began = plan(todo, config, reader), slides.sparkSession, time.time()
-    out = {"tiles": f"{config.output_path}/tiles", "features": f"{config.output_path}/features", "summary": f"{config.output_path}/summary", "errors": f"{config.output_path}/errors"}
+    spark, began = slides.sparkSession, time.time()
+
+    def keep(name: str, table: DataFrame) -> DataFrame:
+        table.write.mode("overwrite").parquet(f"{config.output_path}/{name}")
+        return spark.read.schema(table.schema).parquet(f"{config.output_path}/{name}")
+
+    run = plan(todo, config, reader, keep)
+    out = {"tiles": f"{config.output_path}/tiles", "features": f"{config.output_path}/features", "summary": f"{config.output_path}/summary", "errors": f"{config.output_path}/errors", "masks": f"{config.output_path}/masks", "grid": f"{config.output_path}/grid"}
     kept = None
     if config.output_format is not None:
         sinks.write_tiles(run.tiles.drop("content"), out["tiles"])

@@ -538,12 +538,13 @@ def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def valid_tiles_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole plan, a synthetic slide for each supplier: header, mask, grid, tissue, pixels, blur, Macenko."""
     from ..config import RunConfig
+    from ..session import stored
     from . import pipeline
 
     s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     slides = s.select(F.concat(F.lit("S"), k.cast("string")).alias("slide_id"), F.concat(F.lit("synthetic://S"), k.cast("string"), F.lit(".svs")).alias("path"), F.lit("synthetic").alias("vendor"), F.element_at(F.array(F.lit("40"), F.lit("20"), F.lit("5"), F.lit(None).cast("string")), (k % 4 + 1).cast("int")).alias("objective_power"), F.when(k % 4 == 0, "0.25").alias("mpp_x"), F.lit(None).cast("string").alias("mpp_y"), (F.lit(512) + (k % 5).cast("int") * 64).alias("width"), F.lit(384).alias("height"), F.array(F.lit(1.0), F.lit(16.0)).alias("level_downsamples"))
-    run = pipeline.plan(slides, RunConfig(desired_size=64, desired_magnification=20, tissue_threshold=0.5, remove_blurry_tiles=True, blur_threshold=0.0001, normaliser="macenko"))
+    run = pipeline.plan(slides, RunConfig(desired_size=64, desired_magnification=20, tissue_threshold=0.5, remove_blurry_tiles=True, blur_threshold=0.0001, normaliser="macenko"), keep=lambda name, t: stored(t))
     return pipeline.summary(run).select("sample_id", "total_tiles", "tiles_passing_tissue_thresh", "non_blurry_tiles", "status")
 
 

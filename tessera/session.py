@@ -1,14 +1,16 @@
-"""Makes the package importable on the executors."""
+"""The session: sources sent to the executors, and tables kept in the shared scratch folder."""
 
 from __future__ import annotations
 
 import atexit
+import os
 import pathlib
 import shutil
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 _RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -34,3 +36,19 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(str(at))
         _SHIPPED.add(context.applicationId)
     return spark
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """The shared folder named by spark.checkpoint.dir; a temporary one where the session names none, as in local tests."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not at:
+        at = os.environ.setdefault("TESSERA_SCRATCH", tempfile.mkdtemp(prefix="tessera-"))
+    return at.rstrip("/")
+
+
+def stored(df: DataFrame, *by: str) -> DataFrame:
+    """df written once to the scratch folder and read back: later readers don't compute it again, and a lost executor costs nothing."""
+    at = f"{scratch_dir(df.sparkSession)}/tessera-{uuid.uuid4().hex}"
+    out = df.write
+    (out.partitionBy(*by) if by else out).parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
