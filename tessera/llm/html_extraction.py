@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import partitions, picked, stored
+from .shared import partitions, picked, stored, trimmed
 
 # Names of HTML elements, roles and words in class names.
 _RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "math", "audio", "video"}
@@ -202,6 +202,7 @@ def _key(page_id: int | None, url: str | None, page: str | None) -> int:
     return xxhash.xxh3_64_intdigest(f"{page_id}\0{url}\0{page}".encode("utf-8", "replace")) - (1 << 63)
 
 
+@trimmed
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
@@ -214,6 +215,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _EDGE = "kind int, part int, host string, key long, lines array<long>"
 
 
+@trimmed
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted pages in; out the lines each shares with a neighbour (kind 0), and the first and last page here (1 and 2)."""
     part, before = TaskContext.get().partitionId(), None
@@ -235,6 +237,7 @@ def _edges(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.list_(pa.int64())))], ["kind", "part", "host", "key", "lines"])
 
 
+@trimmed
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
@@ -244,6 +247,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _edges(rows)
 
 
+@trimmed
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = []
@@ -274,6 +278,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     return keyed.join(shared, F.col("key") == F.col("of"), "left").select("page_id", "url", "html", "shared").mapInArrow(_texts, "page_id long, url string, text string")
 
 
+@trimmed
 def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, urls = b.column("page_id").cast(pa.int64()), b.column("url")

@@ -28,13 +28,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .shared import components, partitions, picked, stored
+from .shared import components, partitions, picked, stored, trimmed
 
 #: A shingle in more than one of so many documents is frequent; at most FREQUENT_MOST of them are listed.
 FREQUENT_ONE_IN, FREQUENT_MOST = 500, 1 << 18
@@ -69,6 +68,7 @@ def _slices(batches: Iterator[pa.RecordBatch], most: int = 6 << 20) -> Iterator[
 
 
 def _ids(n_words: int):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             sets = words.shingle_sets(b.column("text"), n_words)
@@ -92,9 +92,15 @@ def _ids(n_words: int):
     return run
 
 
+def _bucket(token: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of shingles under 2^63, by their top bits."""
+    return (((token >> np.uint64(47)) * np.uint64(buckets)) >> np.uint64(16)).astype(np.int64)
+
+
 def _deal(n_words: int, frequent, buckets: int):
     """Counted shingles packed by bucket: set ids, how many shingles each has here, and the low 40 bits of those. Buckets under 0 hold how many of a set's counted shingles are frequent."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequent.value
         for b in _slices(batches):
@@ -109,7 +115,7 @@ def _deal(n_words: int, frequent, buckets: int):
                 token, owner = token[~known], owner[~known]
             else:
                 held = np.zeros(len(sets), np.int64)
-            bucket = (((token >> np.uint64(47)) * np.uint64(buckets)) >> np.uint64(16)).astype(np.int64)
+            bucket = _bucket(token, buckets)
             order = np.argsort(bucket * len(sets) + owner, kind="stable")
             token, owner, bucket = token[order], owner[order], bucket[order]
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -151,12 +157,13 @@ def _count(table: pa.Table) -> pa.Table:
     starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.empty(0, np.int64)
     df = np.diff(np.append(starts, len(token)))
     df = np.repeat(df, df)
-    return pa.table({"gid": gid[df > 1], "token": token[df > 1], "df": df[df > 1]})
+    return pa.table({"gid": gid[df > 1], "token": token[df > 1] + (bucket << 40), "df": df[df > 1]})
 
 
-def _prefixes(n_words: int, threshold: int, frequent):
+def _prefixes(n_words: int, threshold: int, frequent, buckets: int):
     """The prefix of each set left, without shingles known to be its own, and the group: a hash of the whole prefix and the size."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequent.value
         for b in _slices(batches):
@@ -169,9 +176,10 @@ def _prefixes(n_words: int, threshold: int, frequent):
                 if shared:
                     tokens, dfs = (np.array(x, np.int64) for x in zip(*((x["token"], x["df"]) for x in shared), strict=True))
                     order = np.argsort(tokens)
-                    tokens, dfs, low = tokens[order], dfs[order], (s & _LOW40).astype(np.int64)
-                    at = np.minimum(np.searchsorted(tokens, low), len(tokens) - 1)
-                    df = np.where((rank == 0) & (tokens[at] == low), dfs[at], 0)
+                    # as the buckets know them: the bucket and the low 40 bits
+                    tokens, dfs, known_as = tokens[order], dfs[order], (_bucket(s & ~_TOP, buckets) << 40) + (s & _LOW40).astype(np.int64)
+                    at = np.minimum(np.searchsorted(tokens, known_as), len(tokens) - 1)
+                    df = np.where((rank == 0) & (tokens[at] == known_as), dfs[at], 0)
                 order = np.lexsort((s, s & _LOW40, df, rank))[: prefix_length(len(s), threshold)]
                 groups.append(words.mix(np.array([np.add.reduce(words.mix(s[order] + np.arange(len(order), dtype=np.uint64))) + np.uint64(len(s))]))[0])
                 at = np.flatnonzero((rank[order] > 0) | (df[order] > 0))
@@ -192,6 +200,7 @@ def _prefixes(n_words: int, threshold: int, frequent):
 
 
 def _marked(marks):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h = b.column("h").to_numpy()
@@ -283,6 +292,7 @@ def _verify(threshold: int):
 
 
 def _pairs_linked(threshold: int):
+    @trimmed
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in frames:
             ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold) for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)]
@@ -320,7 +330,7 @@ def set_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     marks[[r.word for r in bits]] = [r.bits for r in bits]
     near = docs.withColumn("h", place).mapInArrow(_marked(spark.sparkContext.broadcast(marks)), "doc_id long, text string")
     texts = near.join(left.join(lists, "gid", "left").withColumnRenamed("doc_id", "one"), F.col("doc_id") == F.col("one")).select("gid", "text", "shared")
-    known = texts.mapInArrow(_prefixes(n_words, threshold, frequent), "gid long, n long, grp long, prefix array<long>, places array<long>, members binary")
+    known = texts.mapInArrow(_prefixes(n_words, threshold, frequent, buckets), "gid long, n long, grp long, prefix array<long>, places array<long>, members binary")
     known = stored(known.where("n > 0").dropDuplicates(["gid"]))
 
     groups = known.select("grp", "n", "prefix").dropDuplicates(["grp", "n"]).select(F.xxhash64("grp", "n").alias("grp"), F.explode("prefix").alias("token"))
@@ -366,9 +376,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     ids, classes = set_classes(docs, id_col, text_col, n_words, threshold, block, rounds)
     ids = ids.select("doc_id", "key", "n")
-    full = ids.where("n > 0").join(classes.dropDuplicates(["key"]), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = full.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    # a row a set from here on; only the last join is over documents, and it can be split where a set has many copies
+    sets = ids.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")).join(classes.dropDuplicates(["key"]), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    least = sets.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = sets.select("key", "root").join(least, "root").select(F.col("key").alias("k"), "component_id")
+    out = ids.where("n > 0").join(named, F.col("key") == F.col("k")).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return out.union(ids.where("n = 0").selectExpr("doc_id", "n AS n_shingles", "doc_id AS component_id"))
 
 

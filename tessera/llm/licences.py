@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import picked
+from .shared import picked, trimmed
 
 # Sentences of public licences, normalised, as patterns that match a whole sentence or its end.
 SENTENCES = {
@@ -172,6 +172,7 @@ def match(found: list[tuple[int, str, dict, int, int]], gap: int = 3, rules: tup
 
 
 def _scan(gap: int):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             known, hits = [], []

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .shared import partitions, picked, stored
+from .shared import partitions, picked, stored, trimmed
 
 _STRIP = " \t\n\x0b\x0c\r"
 _LOWER = {i: i + 32 for i in range(65, 91)}
@@ -39,6 +39,7 @@ def _hashed(line: str, least: int) -> bytes | None:
 
 
 def _lines(least: int):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, keys = [], []
@@ -92,6 +93,7 @@ class LineRuns:
 
 
 def _drop(least: int):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, n_lines, n_dropped = [], [], []

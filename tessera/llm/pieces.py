@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import picked
+from .shared import picked, trimmed
 from .words import mix
 
 SPACE = "▁"
@@ -366,6 +366,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _open(path: str | None):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, memory = load(path), Memory()
         for k, b in enumerate(_slices(batches)):
@@ -442,6 +443,7 @@ def assemble(pieces: Pieces, texts: list[str], masks: np.ndarray, memory: Memory
 
 
 def _close(path: str | None, check: bool):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, memory, now, masks, ids, texts = load(path), Memory(), None, [], [], []
 
@@ -481,6 +483,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 
 
 def _decoded(path: str | None):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path)
         for b in batches:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .shared import picked, stored
+from .shared import picked, stored, trimmed
 
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -101,6 +101,7 @@ def _entity(kind: str, value: str) -> str:
 def _mentions(window: int):
     """(entity, context, term) for the words about each identifier; context is a hash of those words. One row with a null term for each context."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = set()
@@ -118,6 +119,7 @@ def _mentions(window: int):
     return run
 
 
+@trimmed
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term hash, documents) of each batch."""
     for b in batches:
@@ -152,6 +154,7 @@ def term_hash(term: str) -> int:
     return int(words.hashes(data, np.array([0]), np.array([len(data)])).view(np.int64)[0])
 
 
+@trimmed
 def _with_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array([term_hash(t) for t in b.column("term").to_pylist()], pa.int64())], [*b.schema.names, "hash"])
@@ -172,6 +175,7 @@ def disclosing_terms(texts: DataFrame, window: int = 8, support: int = 5, genera
 
 
 def _spans(window: int):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
@@ -207,6 +211,7 @@ def sanitised(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
+@trimmed
 def _of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, entity) of each document."""
     for b in batches:

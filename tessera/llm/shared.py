@@ -2,30 +2,33 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
+import contextlib
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import ship, stored
 
+__all__ = ["components", "partitions", "picked", "ship", "stored", "trimmed"]
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one where the session names none, as in local tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not at:
-        at = os.environ.setdefault("TESSERA_SCRATCH", tempfile.mkdtemp(prefix="tessera-"))
-    return at.rstrip("/")
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, giving freed memory back to the system when a task ends: Python workers live on and serve later stages."""
 
-def stored(df: DataFrame, *by: str) -> DataFrame:
-    """df written once to the scratch folder and read back: later readers don't compute it again, and a lost executor costs nothing."""
-    at = f"{scratch_dir(df.sparkSession)}/tessera-{uuid.uuid4().hex}"
-    out = df.write
-    (out.partitionBy(*by) if by else out).parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # a C library without it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
 
 
 def partitions(spark: SparkSession) -> int:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import picked, stored
+from .shared import picked, stored, trimmed
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 _LOADED: dict = {}
@@ -40,6 +40,7 @@ def encoder(path: str):
 
 
 def _lengths(path: str | None, name: str):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, found = encoder(path or vocabulary_path(name)), Counter()
         for b in batches:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import picked, stored
+from .shared import picked, stored, trimmed
 
 
 @dataclass(frozen=True)
@@ -162,6 +162,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.
 def _assign(index, plan: Plan, width: int):
     """(list, vec_id, first, vector) for each list a vector belongs to; first marks its nearest."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = index.value
         for b in _pieces(batches):
@@ -183,6 +184,7 @@ def _assign(index, plan: Plan, width: int):
 def _probe(index, plan: Plan, width: int, own_rows: np.ndarray, k: int):
     """(list, query_id, vector) for each list that a query probes."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = index.value
         for b in _pieces(batches):
