@@ -40,14 +40,21 @@ def otsu(values: DataFrame, key: str, value: str, bins: int = 256) -> DataFrame:
     return best.union(ends.where("lo = hi").select(key, F.col("lo").cast("double")))
 
 
-def dilated(pixels: DataFrame, column: str, size: int, keys: tuple[str, str, str] = ("slide_id", "x", "y")) -> DataFrame:
-    """pixels with the boolean column grown by a size x size window, one axis after the other. Even windows reach further back."""
+def dilated_all(pixels: DataFrame, sizes: dict[str, int], keys: tuple[str, str, str] = ("slide_id", "x", "y")) -> DataFrame:
+    """pixels with each boolean column grown by a window of its size, one axis after the other. Even windows reach further back.
+
+    All columns share two window operators, whatever their sizes: the frames differ, the orders don't.
+    """
     slide, x, y = keys
-    before, after = size // 2, size - 1 - size // 2
-    # the window reaches `before` back from a pixel, so a pixel is set by those up to `before` before and `after` behind it
-    across = Window.partitionBy(slide, y).orderBy(x).rangeBetween(-before, after)
-    along = Window.partitionBy(slide, x).orderBy(y).rangeBetween(-before, after)
-    return pixels.withColumn(column, F.max(column).over(across)).withColumn(column, F.max(column).over(along))
+    for along, order in ((y, x), (x, y)):
+        rows = Window.partitionBy(slide, along).orderBy(order)
+        # a pixel is set by those up to size // 2 before it and the rest of the window behind it
+        pixels = pixels.withColumns({c: F.max(c).over(rows.rangeBetween(-(n // 2), n - 1 - n // 2)) for c, n in sizes.items()})
+    return pixels
+
+
+def dilated(pixels: DataFrame, column: str, size: int, keys: tuple[str, str, str] = ("slide_id", "x", "y")) -> DataFrame:
+    return dilated_all(pixels, {column: size}, keys)
 
 
 def equalised(values: DataFrame, key: str, value: str) -> DataFrame:
@@ -60,33 +67,36 @@ def equalised(values: DataFrame, key: str, value: str) -> DataFrame:
     return values.join(table.select(key, value, level.alias("equalised")), [key, value])
 
 
-def otsu_mask(pixels: DataFrame) -> DataFrame:
-    """pixels with `otsu`: heat above the slide's threshold, grown by 3 x 3.
-
-    Pixels are dealt out by slide once; windows over a slide's rows and columns then need no further exchange.
-    """
+def _hot(pixels: DataFrame) -> DataFrame:
+    """pixels with `otsu`: heat above the slide's threshold. They are dealt out by slide once; windows over a slide's rows and columns then need no further exchange."""
     hot = pixels.repartition("slide_id").withColumn("heat", colour.heat(F.col("r"), F.col("g"), F.col("b")))
-    cut = otsu(hot, "slide_id", "heat")
-    return dilated(hot.join(cut, "slide_id").withColumn("otsu", F.col("heat") > F.col("threshold")).drop("heat", "threshold"), "otsu", 3)
+    return hot.join(otsu(hot, "slide_id", "heat"), "slide_id").withColumn("otsu", F.col("heat") > F.col("threshold")).drop("heat", "threshold")
+
+
+def otsu_mask(pixels: DataFrame) -> DataFrame:
+    """pixels with `otsu`: heat above the slide's threshold, grown by 3 x 3."""
+    return dilated(_hot(pixels), "otsu", 3)
 
 
 #: How far each mark is grown, and the share of the tissue beyond which its mask is ignored.
-_GROWN = {"blue": 6, "red": 3, "green": 3, "black": 3}
+_GROWN = {"otsu": 3, "blue": 6, "red": 3, "green": 3, "black": 3, "gray": 3}
 _IGNORED = {"blue": 0.4, "red": 0.4, "gray": 0.6}
 
 
-def colour_masks(pixels: DataFrame, names: tuple[str, ...], limits: dict[str, float] | None = None, mild: bool = False) -> DataFrame:
-    """pixels (with otsu) and one boolean column for each name: true where the pixel stays.
+def _marked(pixels: DataFrame, names: tuple[str, ...], mild: bool = False) -> DataFrame:
+    """pixels with one boolean column for each name: the pen's colour, or not gray."""
+    r, g, b = F.col("r"), F.col("g"), F.col("b")
+    return pixels.withColumns({n: ~colour.is_gray(r, g, b) if n == "gray" else colour.pen(n, r, g, b, mild) for n in names})
+
+
+def colour_masks(pixels: DataFrame, names: tuple[str, ...], limits: dict[str, float] | None = None) -> DataFrame:
+    """pixels (with otsu and the grown marks) with each mark turned into a mask: true where the pixel stays.
 
     Pen masks are the complement of the grown mark; gray is what isn't gray, grown. Where a mark covers more than its
     limit of the slide's tissue, its mask is ignored (all true); so it is where there is no tissue at all.
     """
     limits = _IGNORED | (limits or {})
-    r, g, b = F.col("r"), F.col("g"), F.col("b")
     out = pixels
-    for name in names:
-        mark = ~colour.is_gray(r, g, b) if name == "gray" else colour.pen(name, r, g, b, mild)
-        out = dilated(out.withColumn(name, mark), name, _GROWN.get(name, 3))
     slide = Window.partitionBy("slide_id")
     tissue = F.count_if("otsu").over(slide)
     cols = {}
@@ -100,8 +110,9 @@ def colour_masks(pixels: DataFrame, names: tuple[str, ...], limits: dict[str, fl
 
 def tissue_mask(pixels: DataFrame, masks: tuple[str, ...] = MASKS[:6], red_pen_thresh: float = 0.4, blue_pen_thresh: float = 0.4, clean: bool = True, compat: bool = False, mild: bool = False) -> DataFrame:
     """(slide_id, mx, my, tissue): the masks combined, small parts removed and small holes filled."""
-    out = otsu_mask(pixels)
-    out = colour_masks(out, tuple(m for m in masks if m not in ("otsu", "folds")), {"red": red_pen_thresh, "blue": blue_pen_thresh}, mild)
+    names = tuple(m for m in masks if m not in ("otsu", "folds"))
+    out = dilated_all(_marked(_hot(pixels), names, mild), {m: _GROWN[m] for m in ("otsu", *names)})
+    out = colour_masks(out, names, {"red": red_pen_thresh, "blue": blue_pen_thresh}) if names else out
     tissue = F.lit(True)
     for m in masks:
         if m != "folds":

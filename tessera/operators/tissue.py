@@ -28,13 +28,13 @@ def ratio_by_cells(tiles: DataFrame, mask: DataFrame) -> DataFrame:
     return _rated(tiles.join(found, keys, "left"))
 
 
-def ratio_by_areas(tiles: DataFrame, mask: DataFrame) -> DataFrame:
-    """The same by a summed-area table."""
+def ratio_by_areas(tiles: DataFrame, mask: DataFrame, size: DataFrame | None = None) -> DataFrame:
+    """The same by a summed-area table. size: (slide_id, mw, mh) of the masks; without it they are read off the mask, which is computed for that once more unless it is stored."""
     row = Window.partitionBy("slide_id", "my").orderBy("mx")
     col = Window.partitionBy("slide_id", "mx").orderBy("my")
     mask = mask.repartition("slide_id")  # both running sums and the size then need no further exchange
     sums = mask.select("slide_id", "mx", "my", F.sum(F.col("tissue").cast("long")).over(row).alias("s")).select("slide_id", "mx", "my", F.sum("s").over(col).alias("s"))
-    size = mask.groupBy("slide_id").agg((F.max("mx") + 1).alias("mw"), (F.max("my") + 1).alias("mh"))
+    size = size if size is not None else mask.groupBy("slide_id").agg((F.max("mx") + 1).alias("mw"), (F.max("my") + 1).alias("mh"))
     t = _window(tiles).join(size, "slide_id", "left")
     clip = lambda v, m: F.least(F.coalesce(F.col(m), F.lit(0)), v)
     t = t.withColumns({"x0": clip(F.col("cx"), "mw"), "y0": clip(F.col("cy"), "mh"), "x1": clip(F.col("cx") + F.col("cw"), "mw"), "y1": clip(F.col("cy") + F.col("ch"), "mh")})
@@ -51,9 +51,9 @@ def _rated(t: DataFrame) -> DataFrame:
     return t.withColumns({"n_cells": n, "n_tissue": k}).withColumn("ratio", F.try_divide("n_tissue", "n_cells"))
 
 
-def with_validity(tiles: DataFrame, mask: DataFrame, threshold: float = 0.7, areas: bool = True) -> DataFrame:
+def with_validity(tiles: DataFrame, mask: DataFrame, threshold: float = 0.7, areas: bool = True, size: DataFrame | None = None) -> DataFrame:
     """tiles with is_valid: a share of tissue of at least threshold. A tile that covers no mask cell is not valid."""
-    rated = (ratio_by_areas if areas else ratio_by_cells)(tiles, mask)
+    rated = ratio_by_areas(tiles, mask, size) if areas else ratio_by_cells(tiles, mask)
     return rated.withColumn("is_valid", F.coalesce(F.col("ratio") >= threshold, F.lit(False)))
 
 

@@ -47,7 +47,8 @@ def plan(slides: DataFrame, config: RunConfig, reader: str = "synthetic", keep:
     pixels = reading.thumbnails(good, reader)
     masks = keep("masks", mask.tissue_mask(pixels, names, config.red_pen_thresh, config.blue_pen_thresh, compat=config.compat))
     every = grid.tile_grid(good, config.overlap)
-    rated = keep("grid", tissue.with_validity(every.select("slide_id", "x", "y", "size", "scale"), masks, config.tissue_threshold))
+    cells = lambda c, n: F.floor(F.col(c) / F.col("scale")).cast("int").alias(n)
+    rated = keep("grid", tissue.with_validity(every.select("slide_id", "x", "y", "size", "scale"), masks, config.tissue_threshold, size=good.select("slide_id", cells("width", "mw"), cells("height", "mh"))))
     # tiles travel as blocks of origins; pixels are made where they are used
     blocks = reading.in_blocks(rated.where("is_valid"), good.drop("path", "error", "step"))
     raw = reading.read_regions(blocks, reader, config.desired_size, config.resampler)

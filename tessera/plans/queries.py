@@ -551,7 +551,8 @@ def valid_tiles_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many tiles of each slide are tissue: painted thumbnails, Otsu, masks, grid, ratio, counts."""
     masks = mask.tissue_mask(pixels(spark, sf_dir), clean=False)
-    t = tissue.tile_counts(tissue.with_validity(_supplier_tiles(spark, sf_dir, 1), masks, 0.5))
+    size = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("slide_id"), F.lit(W).alias("mw"), F.lit(H).alias("mh"))
+    t = tissue.tile_counts(tissue.with_validity(_supplier_tiles(spark, sf_dir, 1), masks, 0.5, size=size))
     return t.withColumn("pct_valid", F.round(F.try_divide("valid_tiles", "total_tiles") * 100, 4))
 
 
