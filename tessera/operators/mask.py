@@ -33,9 +33,12 @@ def otsu(values: DataFrame, key: str, value: str, bins: int = 256) -> DataFrame:
     counts = binned.groupBy(key, bin_.alias("bin")).agg(F.count("*").alias("n"))
     frame = ends.where("lo < hi").withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     full = frame.join(counts, [key, "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("c", F.col("lo") + (F.col("bin") + 0.5) * (F.col("hi") - F.col("lo")) / bins)
-    up, down = Window.partitionBy(key).orderBy("bin"), Window.partitionBy(key).orderBy("bin").rowsBetween(1, Window.unboundedFollowing)
-    s = full.select(key, "bin", "c", F.sum("n").over(up).alias("w1"), F.sum("n").over(down).alias("w2"), F.sum(F.col("n") * F.col("c")).over(up).alias("s1"), F.sum(F.col("n") * F.col("c")).over(down).alias("s2"))
-    s = s.where("w2 IS NOT NULL").withColumn("between", F.col("w1") * F.col("w2") * F.pow(F.col("s1") / F.greatest("w1", F.lit(1)) - F.col("s2") / F.greatest("w2", F.lit(1)), F.lit(2)))
+    # what lies above a bin is the whole less what lies up to it: a frame that runs to the end would sum the rest again at every bin
+    up, every = Window.partitionBy(key).orderBy("bin"), Window.partitionBy(key)
+    mass = F.col("n") * F.col("c")
+    s = full.select(key, "bin", "c", F.sum("n").over(up).alias("w1"), F.sum("n").over(every).alias("w"), F.sum(mass).over(up).alias("s1"), F.sum(mass).over(every).alias("s"))
+    s = s.where(F.col("bin") < bins - 1).selectExpr(f"`{key}`", "bin", "c", "w1", "w - w1 AS w2", "s1", "s - s1 AS s2")
+    s = s.withColumn("between", F.col("w1") * F.col("w2") * F.pow(F.col("s1") / F.greatest("w1", F.lit(1)) - F.col("s2") / F.greatest("w2", F.lit(1)), F.lit(2)))
     best = s.groupBy(key).agg(F.max_by("c", F.struct("between", -F.col("bin"))).alias("threshold"))
     return best.union(ends.where("lo = hi").select(key, F.col("lo").cast("double")))
 
