@@ -34,7 +34,7 @@ from .words import mix
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 #: Characters of an atom that fit the mask; characters of a slice; atoms in a row of the lattice; atoms that a task remembers.
-WIDEST, SLICE, ATOMS, REMEMBERED = 62, 3 << 19, 2048, 1 << 20
+WIDEST, SLICE, ATOMS, REMEMBERED = 62, 1 << 19, 2048, 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MODELS: dict = {}
@@ -282,19 +282,18 @@ class Memory:
 
     def add(self, s: _Slice, new: np.ndarray, count: np.ndarray | None = None, flat: np.ndarray | None = None) -> None:
         """Takes in the new atoms of a slice; when that is too many, only the slice's own stay."""
-        keys = np.concatenate([self.keys, s.keys[new]])
-        order = np.argsort(keys, kind="stable")
-        if len(keys) > REMEMBERED:
-            order = order[_held(s.keys, keys[order])]
+        at = np.searchsorted(self.keys, s.keys[new])
+        self.keys = np.insert(self.keys, at, s.keys[new])
         if count is not None:
-            begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(count) - count])[order]
-            self.count = np.concatenate([self.count, count])[order]
+            self.begin, self.count = np.insert(self.begin, at, len(self.flat) + np.cumsum(count) - count), np.insert(self.count, at, count)
             self.flat = np.concatenate([self.flat, flat])
-            if len(keys) > REMEMBERED:
-                self.flat = self.flat[_ranges(begin, self.count)]
-                begin = np.cumsum(self.count) - self.count
-            self.begin = begin
-        self.keys = keys[order]
+        if len(self.keys) > REMEMBERED:
+            own = _held(s.keys, self.keys)
+            self.keys = self.keys[own]
+            if count is not None:
+                self.count = self.count[own]
+                self.flat = self.flat[_ranges(self.begin[own], self.count)]
+                self.begin = np.cumsum(self.count) - self.count
 
 
 def lattice(pieces: Pieces, s: _Slice, atoms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
