@@ -42,7 +42,8 @@ class RunConfig:
     extract_high_quality: bool = field(default=False, metadata={"help": "also keep the layer before the last"})
     batch_size: int = 16
     min_tiles: int = field(default=0, metadata={"help": "slides with fewer passing tiles leave the manifest"})
-    reconstruct_slide: bool = False
+    reader: str = field(default="synthetic", metadata={"help": "name of a registered slide reader"})
+    reconstruct_slide: bool = field(default=False, metadata={"help": "write thumbnails with the kept tiles framed and the others black"})
     resampler: str = "bilinear"
     compat: bool = field(default=False, metadata={"help": "reproduce known quirks of older runs instead of the documented intent"})
     seed: int = 0

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig
 from ..functions import resolution
-from ..operators import encode, grid, mask, reports, tiles, tissue
+from ..operators import encode, grid, mask, reconstruct, reports, tiles, tissue
 from ..sources import slides as reading
 
 
 @dataclass
 class Run:
     slides: DataFrame
+    pixels: DataFrame
     mask: DataFrame
     grid: DataFrame
     tiles: DataFrame
@@ -61,7 +62,7 @@ def plan(slides: DataFrame, config: RunConfig, reader: str = "synthetic", keep:
     features = None
     if config.encode:
         features = encode.encode_augmented(kept, config.augmentations, extractor=config.feature_extractor, batch_size=config.encode_batch) if config.augmentations else encode.encode(kept.select("slide_id", "x", "y", "size", "tile"), config.feature_extractor, config.encode_batch, high_quality=config.extract_high_quality)
-    return Run(good, masks, rated, kept, reports.error_rows(checked), features)
+    return Run(good, pixels, masks, rated, kept, reports.error_rows(checked), features)
 
 
 def summary(run: Run, kept: DataFrame | None = None, times: dict[str, float] | None = None, compat: bool = False) -> DataFrame:
@@ -77,25 +78,46 @@ def summary(run: Run, kept: DataFrame | None = None, times: dict[str, float] | N
     return reports.derived(rows, compat)
 
 
-def execute(slides: DataFrame, config: RunConfig, reader: str = "synthetic", finished: DataFrame | None = None) -> dict:
-    """Runs the plan to config.output_path: masks, grid, tiles, features, summary, errors. Slides that are finished (slide_id) are skipped."""
-    from ..sources import sinks, manifest
+def execute(slides: DataFrame, config: RunConfig, reader: str | None = None, finished: DataFrame | None = None) -> dict[str, str]:
+    """Runs the plan to folders of config.output_path, whose paths come back by name. Slides that are finished (slide_id) are skipped.
+
+    masks and grid; tiles, features, reconstruction (a drawing of what was kept) and blur (histogram of variances) as the
+    settings ask; summary, errors, and the manifest of the slides with at least min_tiles tiles left.
+    """
+    from ..sources import sinks
 
-    todo = reports.unfinished(slides, finished, "slide_id") if finished is not None else slides
     spark, began = slides.sparkSession, time.time()
+    out: dict[str, str] = {}
 
     def keep(name: str, table: DataFrame) -> DataFrame:
-        table.write.mode("overwrite").parquet(f"{config.output_path}/{name}")
-        return spark.read.schema(table.schema).parquet(f"{config.output_path}/{name}")
+        out[name] = f"{config.output_path}/{name}"
+        table.write.mode("overwrite").parquet(out[name])
+        return spark.read.schema(table.schema).parquet(out[name])
 
-    run = plan(todo, config, reader, keep)
-    out = {"tiles": f"{config.output_path}/tiles", "features": f"{config.output_path}/features", "summary": f"{config.output_path}/summary", "errors": f"{config.output_path}/errors", "masks": f"{config.output_path}/masks", "grid": f"{config.output_path}/grid"}
-    kept = None
+    todo = reports.unfinished(slides, finished, "slide_id") if finished is not None else slides
+    run, kept = plan(todo, config, reader or config.reader, keep), None
+    masked = time.time() - began
     if config.output_format is not None:
-        sinks.write_tiles(run.tiles.drop("content"), out["tiles"])
-        kept = manifest.read_tiles(spark, out["tiles"])
+        out["tiles"] = f"{config.output_path}/tiles"
+        listed = sinks.tile_listing(run.tiles, "png", config.desired_size, int(config.desired_magnification))
+        sinks.write_tiles(listed, out["tiles"])
+        kept = spark.read.schema(listed.schema).parquet(out["tiles"])
+        if config.output_format == "png":
+            sinks.write_png(kept, config.output_path)
+    left = kept if kept is not None else run.tiles
+    patched = time.time() - began - masked
     if run.features is not None:
+        out["features"] = f"{config.output_path}/features"
         sinks.write_features(run.features, out["features"])
-    sinks.write_report(summary(run, kept, {"time_patching_tiles_user": time.time() - began}, config.compat), out["summary"])
-    sinks.write_report(run.errors, out["errors"])
+    if config.remove_blurry_tiles:
+        keep("blur", tiles.variance_histogram(left, 0, 100 * config.blur_threshold, 100))
+    if config.reconstruct_slide:
+        drawn = reconstruct.marked(run.grid.select("slide_id", "x", "y", "size", "scale"), left)
+        keep("reconstruction", reconstruct.reconstructed(mask.masked_pixels(run.pixels, run.mask), drawn))
+    report = keep("summary", summary(run, kept, {"time_masking_user": masked, "time_patching_tiles_user": patched}, config.compat))
+    sinks.write_report(report, f"{config.output_path}/SummaryReport")
+    sinks.write_report(keep("errors", run.errors), f"{config.output_path}/ErrorReport")
+    rows = todo.select(F.col("slide_id").alias("Patient ID"), F.col("path").alias("Original Slide Path"), F.concat_ws("/", F.lit(config.output_path), F.lit("tiles"), F.concat(F.lit("slide_id="), F.col("slide_id"))).alias("Preprocessing Path"))
+    keep("manifest", reports.passing(rows, report, config.min_tiles) if config.min_tiles else rows)
+    out |= {"summary_csv": f"{config.output_path}/SummaryReport", "errors_csv": f"{config.output_path}/ErrorReport"}
     return out

@@ -184,14 +184,30 @@ def test_steps_and_encoders(spark):
 def test_pipeline_end_to_end(spark, tmp_path):
     slides.register_source(spark)
     s = spark.read.format("tessera_slides").option("slides", 4).option("width", 640).option("height", 480).load()
-    config = RunConfig(output_path=str(tmp_path), desired_size=64, desired_magnification=20, tissue_threshold=0.5, remove_blurry_tiles=True, blur_threshold=1e-4, encode=True)
+    config = RunConfig(output_path=str(tmp_path), desired_size=64, desired_magnification=20, tissue_threshold=0.5, remove_blurry_tiles=True, blur_threshold=1e-4, encode=True, reconstruct_slide=True, min_tiles=1)
     out = pipeline.execute(s, config)
-    report = manifest.read_report(spark, out["summary"]).collect()
-    kept = manifest.read_tiles(spark, out["tiles"]).groupBy("slide_id").count().collect()
+    report = manifest.read_report(spark, out["summary_csv"]).collect()
+    kept = spark.read.parquet(out["tiles"]).groupBy("slide_id").count().collect()
     assert {r.sample_id: r.non_blurry_tiles for r in report if r.non_blurry_tiles} == {r.slide_id: r["count"] for r in kept}
     assert manifest.read_features(spark, out["features"]).count() == sum(r["count"] for r in kept)
+    assert spark.read.parquet(out["blur"]).agg({"n": "sum"}).first()[0] == sum(r["count"] for r in kept)
+    assert {r[0] for r in spark.read.parquet(out["manifest"]).select("Patient ID").collect()} >= {r.slide_id for r in kept}
+    assert spark.read.parquet(out["reconstruction"]).where("r = 255 and g = 255").count() > 0
     rest = reports.unfinished(s, spark.read.parquet(out["tiles"]).select("slide_id"), "slide_id")
     assert rest.count() == 4 - len(kept)
+    again = pipeline.execute(s, RunConfig(output_path=str(tmp_path / "b"), output_format=None, encode=True, desired_size=64), finished=spark.read.parquet(out["tiles"]).select("slide_id"))
+    assert spark.read.parquet(again["manifest"]).count() == rest.count() and "tiles" not in again
+
+
+def test_command_line_over_rasters(spark, tmp_path):
+    from tessera.__main__ import main
+
+    image = slides.Synthetic("q", 512, 384).region(0, 0, 512, 384)
+    (tmp_path / "q.ppm").write_bytes(b"P6\n512 384\n255\n" + image.tobytes())
+    spark.createDataFrame([("q", "q.ppm", None, "20", "0.5", None, 512, 384, [1.0, 16.0])], schema.SLIDES).write.parquet(str(tmp_path / "slides.parquet"))
+    out = main(["--input_path", str(tmp_path), "--output_path", str(tmp_path / "out"), "--reader", "ppm", "-s", "64", "-th", "0.5", "--output_format", "png", "-n", "macenko"], spark)
+    tiles_ = spark.read.parquet(out["tiles"]).collect()
+    assert tiles_ and all((tmp_path / "out" / t.tile_path).read_bytes()[:4] == b"\x89PNG" for t in tiles_)
 
 
 def test_stream_meets_each_slide_once(spark, tmp_path):
