@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import pathlib
 import shutil
 import tempfile
@@ -13,6 +12,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_SCRATCH: list[str] = []
 _RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -42,7 +42,10 @@ def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; a temporary one where the session names none, as in local tests."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not at:
-        at = os.environ.setdefault("TESSERA_SCRATCH", tempfile.mkdtemp(prefix="tessera-"))
+        if not _SCRATCH:
+            _SCRATCH.append(tempfile.mkdtemp(prefix="tessera-"))
+            atexit.register(shutil.rmtree, _SCRATCH[0], ignore_errors=True)
+        at = _SCRATCH[0]
     return at.rstrip("/")
 
 
