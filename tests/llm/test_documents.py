@@ -387,3 +387,10 @@ def test_pipeline(spark, data):
     assert {r.doc_id for r in seen["mix"]} <= roots and sorted(r.doc_id for r in seen["encode"]) == sorted(r.doc_id for r in seen["mix"])
     assert all(r.round_trip for r in seen["encode"]) and set(before) >= roots
     assert corpus_pipeline.run(spark, data).count() == len(seen["encode"])
+
+
+def test_quality_agrees_with_labels(spark, data):
+    """Where the base test leaves a document to the rules, their verdict agrees with its label."""
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality_rules.judged(docs).join(labels, "doc_id").where("not __base_failed").select("__kept", "quality").collect()
+    assert len(rows) > 20 and sum(r["__kept"] == bool(r.quality) for r in rows) >= 0.97 * len(rows)
