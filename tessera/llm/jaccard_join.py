@@ -85,8 +85,9 @@ def _ids(n_words: int):
                     pa.array(np.concatenate([gid, token])),
                     pa.array(np.concatenate([n, np.full(k, -1)])),
                     pa.array(np.concatenate([counted, times])),
+                    pa.concat_arrays([b.column("row"), pa.nulls(k, pa.int64())]),
                 ],
-                ["doc_id", "key", "n", "counted"],
+                ["doc_id", "key", "n", "counted", "row"],
             )
 
     return run
@@ -205,7 +206,7 @@ def _marked(marks):
         for b in batches:
             h = b.column("h").to_numpy()
             b = b.filter(pa.array(marks.value[h >> 6] >> (h & 63) & 1 == 1))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("text")], ["doc_id", "text"])
+            yield b.select(["one", "row", "text"])
 
     return run
 
@@ -305,8 +306,9 @@ def _pairs_linked(threshold: int):
 def set_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, threshold: int = 80, block: int = 4096, rounds: int = 3) -> tuple[DataFrame, DataFrame]:
     """(ids, classes): ids has doc_id, key (the set) and n for each document; classes has (key, root) for the sets linked with another."""
     spark = docs.sparkSession
-    docs = picked(docs, doc_id=id_col, text=text_col)
-    ids_and_often = stored(docs.mapInArrow(_ids(n_words), "doc_id long, key long, n long, counted long"))
+    # a set's text is found again by the id of one of its rows and a hash of the text: ids may repeat or be null
+    docs = picked(docs, doc_id=id_col, text=text_col).withColumn("row", F.xxhash64("text"))
+    ids_and_often = stored(docs.mapInArrow(_ids(n_words), "doc_id long, key long, n long, counted long, row long"))
     ids = ids_and_often.where("n >= 0")
     n_docs = ids.count()
     often = ids_and_often.where("n < 0").groupBy("key").agg(F.sum("counted").alias("times")).where(F.col("times") * FREQUENT_ONE_IN >= max(n_docs, 16 * FREQUENT_ONE_IN))
@@ -317,19 +319,20 @@ def set_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dealt = docs.mapInArrow(_deal(n_words, frequent, buckets), "bucket int, body binary")
     shared = stored(dealt.groupBy("bucket").applyInArrow(_count, "gid long, token long, df long"))
 
-    sets = ids.where("n > 0").groupBy(F.col("key").alias("gid")).agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counted").alias("counted"))
+    one = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    sets = ids.where("n > 0").withColumn("one", one).groupBy(F.col("key").alias("gid")).agg(F.min("one").alias("one"), F.min_by("row", "one").alias("row"), F.first("n").alias("n"), F.first("counted").alias("counted"))
     seen = shared.groupBy("gid").agg(F.sum(F.expr("if(token < 0, df, 0)")).alias("frequent"), F.sum(F.expr("if(token < 0, 0, 1)")).alias("shared"))
     need = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") / 100) + 1
     left = sets.join(seen, "gid", "left").where(F.col("counted") - F.coalesce("frequent", F.lit(0)) - F.coalesce("shared", F.lit(0)) < need)
-    left = stored(left.select("gid", "doc_id"))
+    left = stored(left.select("gid", "one", "row"))
     lists = shared.where("token >= 0").join(left.select("gid"), "gid", "left_semi").groupBy("gid").agg(F.collect_list(F.struct("token", "df")).alias("shared"))
     # texts of other documents stay where they are: a bit map of fixed size tells most of them, the join the rest
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MAP_BITS))
+    place = F.pmod(F.xxhash64("one", "row"), F.lit(1 << MAP_BITS))
     bits = left.select(place.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(h & 63)))").alias("bits")).collect()
     marks = np.zeros(1 << (MAP_BITS - 6), np.int64)
     marks[[r.word for r in bits]] = [r.bits for r in bits]
-    near = docs.withColumn("h", place).mapInArrow(_marked(spark.sparkContext.broadcast(marks)), "doc_id long, text string")
-    texts = near.join(left.join(lists, "gid", "left").withColumnRenamed("doc_id", "one"), F.col("doc_id") == F.col("one")).select("gid", "text", "shared")
+    near = docs.withColumn("one", one).withColumn("h", place).mapInArrow(_marked(spark.sparkContext.broadcast(marks)), "one long, row long, text string")
+    texts = near.join(left.join(lists, "gid", "left"), ["one", "row"]).select("gid", "text", "shared")
     known = texts.mapInArrow(_prefixes(n_words, threshold, frequent, buckets), "gid long, n long, grp long, prefix array<long>, places array<long>, members binary")
     known = stored(known.where("n > 0").dropDuplicates(["gid"]))
 

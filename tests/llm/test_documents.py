@@ -89,6 +89,16 @@ def test_jaccard_odd(odd, none):
     assert kept.columns == odd.columns and kept.where("doc_id is not null").count() == kept.where("doc_id is not null").select("doc_id").distinct().count()
 
 
+def test_jaccard_ids_that_repeat_or_are_missing(spark):
+    base = [f"t{i}" for i in range(60)]
+    near = lambda k: " ".join(base[:k] + [f"n{k}"] + base[k + 1 :])
+    rows = [(None, " ".join(base)), (5, near(3)), (5, "quite another text that shares no words at all"), (5, near(59)), (None, near(30)), (9, "z " * 9), (None, "only one of its kind here, and nameless")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, jaccard_join.near_duplicates(df).collect()), key=repr)
+    assert got == brute_components(rows)
+    assert got.count((None, 56, 5)) == 2
+
+
 def test_jaccard_exact_threshold(spark):
     # 8 of 10 shingles shared is a link, 7 of 9 is not
     a = " ".join(f"a{i}" for i in range(13))
