@@ -8,7 +8,8 @@ reveals at least `disclosure` of an identifier, in at least `support` contexts,
 mentions of that identifier. One that reveals at least `general` is generalised. Copies of a passage are one context,
 so a text that is copied doesn't make all its words disclosing.
 
-Counting: every document of the corpus counts. Only (term, identifier) pairs with the support needed are looked up, and
+Counting: every document of the corpus counts, and holds a term if one of its words is the term or if the term was cut out
+beside one of its mentions ("Name<mail@host>"). Only (term, identifier) pairs with the support needed are looked up, and
 documents are counted per batch by term before the shuffle.
 """
 
@@ -119,20 +120,31 @@ def _mentions(window: int):
     return run
 
 
-@trimmed
-def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term hash, documents) of each batch."""
-    for b in batches:
-        found: Counter = Counter()
-        for i in range(0, b.num_rows, 512):
-            data, offsets = words.buffers(b.column("text").slice(i, 512))
-            starts, ends, rows = words.spans(data, offsets)
-            starts, ends = _trimmed(data, starts, ends)
-            own = words.hashes(data, starts, ends)
-            each = [np.unique(own[a:e]) for a, e in zip(rows[:-1], rows[1:], strict=True)]
-            values, counts = np.unique(np.concatenate([*each, np.empty(0, np.uint64)]), return_counts=True)
-            found.update(dict(zip(values.view(np.int64).tolist(), counts.tolist(), strict=True)))
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], ["hash", "docs"])
+def _document_counts(window: int):
+    """(term hash, documents) of each batch. Texts are lowered as terms are; no white space or edge changes by that."""
+
+    @trimmed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found: Counter = Counter()
+            for i in range(0, b.num_rows, 512):
+                texts = [t or "" for t in b.column("text").slice(i, 512).to_pylist()]
+                data, offsets = words.buffers(pa.array([t.lower() for t in texts], pa.large_string()))
+                starts, ends, rows = words.spans(data, offsets)
+                starts, ends = _trimmed(data, starts, ends)
+                own = words.hashes(data, starts, ends)
+                each = [np.unique(np.concatenate([own[a:e], _beside(t, window)])) for t, a, e in zip(texts, rows[:-1], rows[1:], strict=True)]
+                values, counts = np.unique(np.concatenate([*each, np.empty(0, np.uint64)]), return_counts=True)
+                found.update(dict(zip(values.view(np.int64).tolist(), counts.tolist(), strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], ["hash", "docs"])
+
+    return run
+
+
+def _beside(text: str, window: int) -> np.ndarray:
+    """Hashes of the terms about a text's identifiers."""
+    terms = {t for _, a, e in find(text) for t, _, _ in _terms(text, a, e, window)}
+    return np.array([term_hash(t) for t in terms], np.int64).view(np.uint64)
 
 
 _IS_EDGE = np.zeros(256, bool)
@@ -168,9 +180,9 @@ def disclosing_terms(texts: DataFrame, window: int = 8, support: int = 5, genera
     pairs = mentions.where("term IS NOT NULL").groupBy("entity", "term").agg(F.count("*").alias("c_te")).where(F.col("c_te") >= support)
     pairs = stored(pairs.join(entities, "entity").mapInArrow(_with_hash, "entity string, term string, c_te long, c_e long, hash long"))
     wanted = pairs.select("hash").distinct()
-    counts = texts.mapInArrow(_document_counts, "hash long, docs long").join(wanted, "hash", "left_semi").groupBy("hash").agg(F.sum("docs").alias("c_t"))
+    counts = texts.mapInArrow(_document_counts(window), "hash long, docs long").join(wanted, "hash", "left_semi").groupBy("hash").agg(F.sum("docs").alias("c_t"))
     share = F.log(F.lit(float(max(n, 1))) * F.col("c_te") / (F.greatest("c_t", "c_te") * F.col("c_e"))) / F.log(F.lit(float(max(n, 2))) / F.least(F.col("c_e"), F.lit(max(n, 2) - 1)))
-    out = pairs.join(counts, "hash").withColumn("share", share).where(F.col("share") >= general)
+    out = pairs.join(counts, "hash", "left").withColumn("share", share).where(F.col("share") >= general)
     return out.select("entity", "term", "share", F.when(F.col("share") >= disclosure, "remove").otherwise("generalise").alias("action"))
 
 

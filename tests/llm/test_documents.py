@@ -257,6 +257,21 @@ def test_pii_terms(spark, odd, none):
     assert pii.sanitise(none).count() == 0
 
 
+def test_pii_terms_are_counted_as_they_are_found(spark):
+    """Capitals outside ASCII, and words cut out beside an identifier, have their counts."""
+    rng = random.Random(18)
+    rows = [(i, f"{text(rng, 40)} Große" if i % 2 else f"{text(rng, 40)} MAIL<q.q{i}@x.example.com> {text(rng, 9)}") for i in range(300)]
+    rows += [(1000 + i, f"{text(rng, 20)} Große reach Émile at e.m@mail.example.com {text(rng, 9)}") for i in range(9)]
+    rows += [(2000 + i, f"{text(rng, 20)} Ölaf<o.l@mail.example.com> {text(rng, 9)}") for i in range(9)]
+    rows += [(3000 + i, f"{text(rng, 20)} mail<i.p@mail.example.com> {text(rng, 9)}") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.entity, r.term): r for r in pii.disclosing_terms(df.select("text")).collect()}
+    assert got["email:e.m@mail.example.com", "émile"].action == got["email:o.l@mail.example.com", "ölaf"].action == "remove"
+    assert not any(t in ("große", "mail") for _, t in got)
+    out = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert "Émile" not in out[1000] and "Ölaf" not in out[2000] and "Große" in out[1000] and "mail" in out[3000]
+
+
 def test_token_counts(spark, odd, none):
     from tokenizers import Tokenizer
 
