@@ -5,8 +5,12 @@ and an identifier e, the pointwise mutual information PMI(t; e) = log(N c(t, e)
 information of e itself, IC(e) = log(N / c(e)), is the share of e that t reveals. c(e) counts distinct contexts of e (the
 words within `window` of a mention), c(t, e) those that hold t, c(t) documents with t and N all documents. A term that
 reveals at least `disclosure` of an identifier, in at least `support` contexts, is disclosing: it is removed beside
-mentions of that identifier. One that reveals at least `general` is generalised. Copies of a passage are one context,
-so a text that is copied doesn't make all its words disclosing.
+mentions of that identifier. One that reveals at least `general` is generalised.
+
+Two contexts suffice, since most identifiers have few, so they must be independent: mentions in one text whose windows
+meet are one context, and so are copies and near copies of a passage. For the latter a context has _BANDS signatures, each
+of the least hashes of its words in three orders, which near copies share and other contexts hardly. The support of a
+pair is the least number of distinct signatures in any band; c(e) and c(t, e) count contexts that differ in any word.
 
 Counting: every document of the corpus counts, and holds a term if one of its words is the term or if the term was cut out
 beside one of its mentions ("Name<mail@host>"). Only (term, identifier) pairs with the support needed are looked up, and
@@ -99,23 +103,46 @@ def _entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower()}" if kind == "email" else f"{kind}:{re.sub('[^0-9.]', '', value)}"
 
 
+_BANDS = 4
+_ORDERS = [int.from_bytes(hashlib.blake2b(bytes([k]), digest_size=8).digest(), "big") | 1 for k in range(3 * _BANDS)]
+
+
+def _signatures(terms: list[str]) -> list[int]:
+    """A hash of a context's words in order, and a signature of them for each band."""
+    own = [int.from_bytes(hashlib.blake2b(t.encode("utf-8", "replace"), digest_size=8).digest(), "big") for t in terms]
+    least = [min(((x * m & (1 << 64) - 1) >> 20 for x in own), default=0) for m in _ORDERS]
+    parts = [terms, *(least[3 * k : 3 * k + 3] for k in range(_BANDS))]
+    return [int.from_bytes(hashlib.blake2b(repr(x).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) for x in parts]
+
+
+def _contexts(text: str, window: int) -> Iterator[tuple[str, list[str]]]:
+    """(entity, terms) of each context; mentions of an entity whose windows meet are one."""
+    held: dict[str, list[tuple[int, list[str]]]] = {}
+    for kind, a, e in sorted(find(text), key=lambda s: s[1]):
+        around = _terms(text, a, e, window)
+        terms, own = [t for t, _, _ in around], held.setdefault(_entity(kind, text[a:e]), [])
+        first, last = min([a, *(x for _, x, _ in around)]), max([e, *(y for _, _, y in around)])
+        if own and first <= own[-1][0]:
+            own[-1] = (max(last, own[-1][0]), own[-1][1] + terms)
+        else:
+            own.append((last, terms))
+    for entity, own in held.items():
+        for _, terms in own:
+            yield entity, terms
+
+
 def _mentions(window: int):
-    """(entity, context, term) for the words about each identifier; context is a hash of those words. One row with a null term for each context."""
+    """(entity, band, context, term) for the words about each identifier; context is a hash (band 0) or a signature of those words. One row with a null term for each context and band."""
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = set()
             for text in b.column("text"):
-                text = text.as_py() or ""
-                for kind, a, e in find(text):
-                    terms = _terms(text, a, e, window)
-                    context = int.from_bytes(hashlib.blake2b(" ".join(t for t, _, _ in terms).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
-                    entity = _entity(kind, text[a:e])
-                    rows.add((entity, context, None))
-                    rows |= {(entity, context, t) for t, _, _ in terms}
-            cols = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], ["entity", "context", "term"])
+                for entity, terms in _contexts(text.as_py() or "", window):
+                    rows |= {(entity, band, context, t) for band, context in enumerate(_signatures(terms)) for t in (None, *terms)}
+            cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.string()), strict=True)], ["entity", "band", "context", "term"])
 
     return run
 
@@ -172,12 +199,14 @@ def _with_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array([term_hash(t) for t in b.column("term").to_pylist()], pa.int64())], [*b.schema.names, "hash"])
 
 
-def disclosing_terms(texts: DataFrame, window: int = 8, support: int = 5, general: float = 0.6, disclosure: float = 0.8) -> DataFrame:
+def disclosing_terms(texts: DataFrame, window: int = 8, support: int = 2, general: float = 0.6, disclosure: float = 0.8) -> DataFrame:
     """(entity, term, share, action): terms that reveal an identifier, and whether they are removed or generalised."""
     n = texts.count()
-    mentions = stored(texts.mapInArrow(_mentions(window), "entity string, context long, term string").distinct())
-    entities = mentions.where("term IS NULL").groupBy("entity").agg(F.count("*").alias("c_e")).where(F.col("c_e") >= support)
-    pairs = mentions.where("term IS NOT NULL").groupBy("entity", "term").agg(F.count("*").alias("c_te")).where(F.col("c_te") >= support)
+    mentions = texts.mapInArrow(_mentions(window), "entity string, band int, context long, term string").distinct().groupBy("entity", "term", "band").count()
+    mentions = mentions.groupBy("entity", "term").agg(F.max(F.when(F.col("band") == 0, F.col("count"))).alias("contexts"), F.min(F.when(F.col("band") > 0, F.col("count"))).alias("independent"))
+    mentions = stored(mentions.where(F.col("independent") >= support))
+    entities = mentions.where("term IS NULL").selectExpr("entity", "contexts AS c_e")
+    pairs = mentions.where("term IS NOT NULL").selectExpr("entity", "term", "contexts AS c_te")
     pairs = stored(pairs.join(entities, "entity").mapInArrow(_with_hash, "entity string, term string, c_te long, c_e long, hash long"))
     wanted = pairs.select("hash").distinct()
     counts = texts.mapInArrow(_document_counts(window), "hash long, docs long").join(wanted, "hash", "left_semi").groupBy("hash").agg(F.sum("docs").alias("c_t"))
@@ -232,7 +261,7 @@ def _of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string())], ["doc_id", "entity"])
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, support: int = 5, general: float = 0.6, disclosure: float = 0.8) -> DataFrame:
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, support: int = 2, general: float = 0.6, disclosure: float = 0.8) -> DataFrame:
     """For each row of docs: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (of patterns and terms) and text without them.
 
     A null text counts as empty. Repeated rows are handled alike. A null id keeps the spans of patterns and gets none of

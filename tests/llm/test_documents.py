@@ -257,6 +257,24 @@ def test_pii_terms(spark, odd, none):
     assert pii.sanitise(none).count() == 0
 
 
+def test_pii_terms_of_identifiers_with_few_contexts(spark):
+    """At the registered parameters, a name beside an address in two texts is removed; near copies and windows that meet are one context."""
+    rng = random.Random(28)
+    own = lambda n, k: " ".join(f"{rng.choice(WORDS)}{rng.randrange(k)}x".translate(str.maketrans("0123456789", "abcdefghij")) for _ in range(n))
+    rows = [(i, own(60, 60)) for i in range(600)]
+    rows += [(1000 + i, f"{own(30, 60)} reach zanthor at z.a@mail.example.com or {own(30, 60)}") for i in range(2)]
+    passage = f"{own(20, 10**6)} qwertz at q.w@mail.example.com for {own(20, 10**6)}".split()
+    at = passage.index("q.w@mail.example.com")
+    rows += [(2000 + i, " ".join(passage[:k] + [f"changed{'abc'[i]}"] + passage[k + 1 :])) for i, k in enumerate((at - 5, at + 4, at + 7))]
+    rows += [(3000, f"{own(9, 60)} meets m.m@mail.example.com yxcvbn asdfgh m.m@mail.example.com {own(9, 60)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.entity, r.term): r.action for r in pii.disclosing_terms(df.select("text")).collect()}
+    assert got["email:z.a@mail.example.com", "zanthor"] == "remove"
+    assert {e for e, _ in got} == {"email:z.a@mail.example.com"}
+    out = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert not any("zanthor" in out[1000 + i] for i in range(2)) and "qwertz" in out[2000] and "yxcvbn" in out[3000]
+
+
 def test_pii_terms_are_counted_as_they_are_found(spark):
     """Capitals outside ASCII, and words cut out beside an identifier, have their counts."""
     rng = random.Random(18)
