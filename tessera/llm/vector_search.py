@@ -11,10 +11,10 @@ near a vector. It runs for whole batches of vectors at once.
 Lists: a vector goes to the list of its nearest centroid and, near a boundary, to further ones whose distance is within
 `replica_ratio` of the least, unless a chosen centroid is nearer to that centroid than the vector is (those replicas
 would answer the same queries). A query probes the lists whose distance is within `probe_ratio` of the least, and
-further ones until their own rows suffice for k neighbours.
+further ones until their own ids suffice for k neighbours.
 
 Scoring: lists are dealt out in blocks of about `block` rows, so a list that many equal vectors share is scored by many
-tasks, and a query goes to each block of a list. A block returns each query's k best; the best of all blocks follow.
+tasks, and a query goes to each block of a list. A block returns each query's k best ids; the best of all blocks follow.
 Scores are cosines of the original vectors in double precision.
 """
 
@@ -193,7 +193,7 @@ def _probe(index, plan: Plan, width: int, own_rows: np.ndarray, k: int):
             near = (ids >= 0) & (far <= plan.probe_ratio * far[:, :1] + 1e-12)
             near[:, plan.probes :] = False
             held = np.where(ids >= 0, own_rows[ids], 0)
-            enough = np.cumsum(held, axis=1) - held > k  # lists before this one have k rows besides the query
+            enough = np.cumsum(held, axis=1) - held > k  # lists before this one have k ids besides the query
             near |= (ids >= 0) & ~enough
             r, c = np.nonzero(near)
             lists = ids[r, c]
@@ -219,11 +219,14 @@ def _score(width: int, k: int):
         if len(qid) and len(vid):
             q, v = _matrix(left.column("vector").combine_chunks(), width), _matrix(right.column("vector").combine_chunks(), width)
             unit = _units(v)
+            by_id = np.argsort(vid, kind="stable")
+            starts = np.flatnonzero(np.diff(vid[by_id], prepend=vid[by_id[0]] - 1))
             for a in range(0, len(qid), 256):
                 s = _units(q[a : a + 256]) @ unit.T
                 s[qid[a : a + 256, None] == vid[None]] = -np.inf
-                take = min(k, s.shape[1])
-                least = np.partition(s, s.shape[1] - take, axis=1)[:, s.shape[1] - take]
+                own = np.maximum.reduceat(s[:, by_id], starts, axis=1)  # the best row of each id
+                take = min(k, own.shape[1])
+                least = np.partition(own, own.shape[1] - take, axis=1)[:, own.shape[1] - take]
                 for i in range(len(s)):
                     # all that rounding may put among the first; then exactly, ties to the smaller id
                     c = np.flatnonzero(s[i] >= max(least[i], -2.0) - 1e-12)
@@ -241,7 +244,7 @@ def _score(width: int, k: int):
 
 
 def usable(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, vector) of the rows that take part: finite, not zero, no null inside, with an id; once each."""
+    """(vec_id, vector) of the rows that take part: finite, not zero, no null inside, with an id. Rows may repeat."""
     rows = picked(table, vec_id=id_col, vector=vector_col).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).where(~bad & F.exists("vector", lambda x: x != 0)).where(F.size("vector") > 0)
@@ -257,24 +260,26 @@ def search(table: DataFrame, queries: DataFrame | None = None, k: int = 5, id_co
     """
     spark = table.sparkSession
     rows = usable(table, id_col, vector_col)
-    sizes = rows.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("k"), F.approx_count_distinct("vec_id").alias("ids"))
+    drawn = F.xxhash64("vec_id", "vector", F.lit(5))
+    sizes = rows.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("k"), F.approx_count_distinct(drawn).alias("distinct"))
     top = sizes.orderBy(F.desc("k"), "width").first()
     shape = "query_id long, rank int, vec_id long, score double"
     if top is None:
         return spark.createDataFrame([], shape)
-    width, n_rows = top.width, top.k
+    width, n_rows = top.width, min(top.k, top.distinct)  # repeated rows are one
     rows = rows.where(F.size("vector") == width)
     asked = usable(queries, id_col, vector_col).where(F.size("vector") == width) if queries is not None else rows
     share = min(1.0, 2.0 * plan.sample / n_rows)
-    drawn = F.xxhash64("vec_id", F.lit(5))
     # twice the sample by threshold, then exactly the rows of least hash
     some = rows.where(drawn <= F.lit(int(-(1 << 63) + share * ((1 << 64) - 1)))) if share < 1 else rows
-    some = some.orderBy(drawn, "vec_id").limit(plan.sample).select("vector")
+    some = some.dropDuplicates(["vec_id", "vector"]).orderBy(drawn, "vec_id").limit(plan.sample).select("vector")
     sample = _units(_matrix(some.toArrow().column("vector").combine_chunks(), width))
     index = spark.sparkContext.broadcast(fit(sample, n_rows, plan))
     n_lists = len(index.value.centroids)
-    lists = stored(rows.mapInArrow(_assign(index, plan, width), "list int, vec_id long, first boolean, vector array<double>"))
-    counted = lists.groupBy("list").agg(F.count("*").alias("k"), F.count_if("first").alias("own")).collect()  # a row a list, at most most_centroids
+    lists = stored(rows.dropDuplicates(["vec_id", "vector"]).mapInArrow(_assign(index, plan, width), "list int, vec_id long, first boolean, vector array<double>"))
+    one = lists.where("first").groupBy("vec_id").agg(F.min("list").alias("list")).select("list", F.lit(True).alias("own"))  # an id counts in one list
+    both = lists.select("list", F.lit(False).alias("own")).union(one)
+    counted = both.groupBy("list").agg(F.count_if(~F.col("own")).alias("k"), F.count_if("own").alias("own")).collect()  # a row a list, at most most_centroids
     own, held = np.zeros(n_lists, np.int64), np.zeros(n_lists, np.int64)
     for r in counted:
         own[r.list], held[r.list] = r.own, r.k

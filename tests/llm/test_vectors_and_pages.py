@@ -56,6 +56,21 @@ def test_odd_vectors(spark):
     assert found(V.search(df.where("vec_id = 1"))) == {}
 
 
+@pytest.mark.parametrize("step", [0.0, 0.001])
+def test_ids_that_repeat(spark, step):
+    """An id with k rows or more near the query, equal or not, takes one place; the others follow, in small tables and in larger ones."""
+    rows = [(0, [1.0, 0.0])] + [(7, [1.0, 0.01 + i * step]) for i in range(6)] + [(i, [1.0, 0.1 * i]) for i in range(1, 6)]
+    got = found(V.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5))
+    assert [i for i, _ in got[0]] == [7, 1, 2, 3, 4] and set(got) == {0, 1, 2, 3, 4, 5, 7} and all(len(v) == 5 for v in got.values())
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((200, 8))
+    rows = [(int(i), (v + step * rng.standard_normal(8)).tolist()) for i, v in enumerate(x) for _ in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(V.search(df, df.where("vec_id % 20 = 0"), plan=V.Plan(posting=16, block=64)))
+    want = brute(np.arange(200), x, np.arange(0, 200, 20), 5)
+    assert all(len(v) == 5 for v in got.values()) and np.mean([len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / 5 for q in want]) >= 0.9
+
+
 def test_common_subsequence():
     rng = random.Random(1)
 
