@@ -16,7 +16,6 @@ import html
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -131,11 +130,30 @@ def _hash(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line.encode("utf-8", "replace")) - (1 << 63)
 
 
+class _Places(dict):
+    """The places of a line as bits of an integer. Those of lines with few places are made anew each time if the list is long, since they would take its length squared."""
+
+    def __init__(self, lines: list[int]) -> None:
+        self.at: dict[int, list[int]] = {}
+        self.size, self.few = len(lines) // 8 + 1, 64 if len(lines) > 1 << 14 else 0
+        for k, x in enumerate(lines):
+            self.at.setdefault(x, []).append(k)
+
+    def __missing__(self, line: int) -> int:
+        held = bytearray(self.size)
+        for k in self.at[line]:
+            held[k >> 3] |= 1 << (k & 7)
+        out = int.from_bytes(held, "little")
+        if len(self.at[line]) > self.few:
+            self[line] = out
+        return out
+
+
 def shared_lines(a: list[int], b: list[int], most: int = 1 << 28) -> set[int]:
     """The lines of a longest common subsequence of a and b.
 
-    Rows of the dynamic programme are single integers, a bit for each line of b. For pages so long that the rows
-    would pass `most` bits, the alignment is of lines that occur once in either page, which is exact for those.
+    Rows of the dynamic programme are single integers, a bit for each line of b. Where all rows would pass `most` bits,
+    some are held and those between are made again when the alignment is traced back; the result is the same.
     """
     known = set(b)
     a = [x for x in a if x in known]
@@ -145,50 +163,32 @@ def shared_lines(a: list[int], b: list[int], most: int = 1 << 28) -> set[int]:
         return set()
     if a == b:
         return set(a)
-    if len(a) * len(b) > most:
-        once = {x for x in known if a.count(x) == 1 and b.count(x) == 1} if len(known) < 1000 else _once(a) & _once(b)
-        place = {x: k for k, x in enumerate(b) if x in once}
-        return _increasing([x for x in a if x in once], place)
-    where: dict[int, int] = {}
-    for k, x in enumerate(b):
-        where[x] = where.get(x, 0) | 1 << k
-    full, row, rows = (1 << len(b)) - 1, (1 << len(b)) - 1, []
-    rows.append(row)
-    for x in a:
-        both = row & where[x]
-        row = ((row + both) | (row - both)) & full
-        rows.append(row)
+    where = _Places(b)
+    full = (1 << len(b)) - 1
+    at_once = max(1, most // len(b))
+    parts = [(0, len(a), full)]  # the first and last row of each part, and the integer of the first
     out, i, j = set(), len(a), len(b)
-    while i and j:
-        if not rows[i] >> (j - 1) & 1:  # the length grows at b[j-1] within the first i lines
-            if not rows[i - 1] >> (j - 1) & 1:
-                i -= 1
+    while parts and j:
+        low, high, row = parts.pop()
+        step = max(1, -(-(high - low) // 16)) if high - low > at_once else 0
+        rows = [row]
+        for n, x in enumerate(a[low:high], low + 1):
+            both = row & where[x]
+            row = ((row + both) | (row - both)) & full
+            if not step or (n - low) % step == 0 and n < high:
+                rows.append(row)
+        if step:
+            parts += [(k, min(k + step, high), r) for k, r in zip(range(low, high, step), rows, strict=True)]
+            continue
+        while i > low and j:
+            if not rows[i - low] >> (j - 1) & 1:  # the length grows at b[j-1] within the first i lines
+                if not rows[i - 1 - low] >> (j - 1) & 1:
+                    i -= 1
+                else:
+                    out.add(b[j - 1])
+                    i, j = i - 1, j - 1
             else:
-                out.add(b[j - 1])
-                i, j = i - 1, j - 1
-        else:
-            j -= 1
-    return out
-
-
-def _once(lines: list[int]) -> set[int]:
-    values, counts = np.unique(np.array(lines, np.int64), return_counts=True)
-    return set(values[counts == 1].tolist())
-
-
-def _increasing(lines: list[int], place: dict[int, int]) -> set[int]:
-    """A longest subsequence of lines whose places increase."""
-    import bisect
-
-    tails, ends, back = [], [], {}
-    for x in lines:
-        k = bisect.bisect_left(tails, place[x])
-        back[x] = ends[k - 1] if k else None
-        tails[k : k + 1], ends[k : k + 1] = [place[x]], [x]
-    out, x = set(), ends[-1] if ends else None
-    while x is not None:
-        out.add(x)
-        x = back[x]
+                j -= 1
     return out
 
 

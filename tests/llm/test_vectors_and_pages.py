@@ -88,6 +88,17 @@ def test_common_subsequence():
     assert H.shared_lines([1, 1, 2], [1, 2, 2]) == {1, 2}
 
 
+def test_common_subsequence_is_the_same_at_every_size():
+    rng = random.Random(2)
+    assert H.shared_lines([1, 1, 2], [1, 2, 2], 0) == {1, 2}
+    for _ in range(300):
+        a, b = ([rng.randrange(9) for _ in range(rng.randrange(0, 60))] for _ in range(2))
+        assert H.shared_lines(a, b, rng.choice([0, 99, 500])) == H.shared_lines(a, b)
+    a = [x for i in range(7000) for x in (i, -1, -2)]  # past the limit, with lines that repeat
+    b = [x for i in range(7000) for x in (i if i % 3 else -i - 9, -1, -2)]
+    assert H.shared_lines(a, b) == {-1, -2, *(i for i in range(7000) if i % 3)}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no</p>";</script></head><body class="has-sidebar">
 <header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav><!-- <p>gone</p> --><div class="cookie-notice"><p>We use cookies</p></div>
 <div class="ad">Buy</div><article class="post"><header><h1>Title &amp; more</h1></header><p><b>First\n  line.<br><p>Second &eacute;&#x20AC; line<ul><li>one<li>two</ul><aside>Pull</aside><table><tr><td>c1<td>c2</table>
