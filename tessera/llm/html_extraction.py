@@ -3,8 +3,11 @@
 1. Every page is cut into lines, one for each block of text, and each line gets a hash and what the markup says of
    it: inside the main element, inside a part that never belongs to the text, or neither.
 2. Pages are sorted by host, path and rest of the URL over range partitions, so the pages of one large host lie in
-   many tasks. Each page is paired with those before and after it in its host; pairs across the edges of
-   partitions are made from the edge rows alone.
+   many tasks. Each page is paired with those before and after it in its host. Copies and near copies (_COPY of the
+   text that markup leaves) say nothing of the template, so a page whose text no markup shows is paired with the
+   nearest pages that are no copies of it: pages after each other that are copies of the first one are a run, and
+   a run's pages are paired with the first page of the run before and of the run after. Pairs across the edges of
+   partitions are made from the pages of the runs at the edges.
 3. The lines of a pair are aligned by longest common subsequence; shared lines are deleted as the site's template.
 4. An exact check follows: lines that the markup puts inside the article stay although a neighbour has them, since
    copies of an article share its lines; lines of menus, forms and the like go although no neighbour has them.
@@ -14,12 +17,13 @@ from __future__ import annotations
 
 import html
 import re
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import partitions, picked, stored, trimmed
@@ -38,6 +42,8 @@ _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _SPACE = re.compile(r"\s+")
 IN_MAIN, UNKNOWN, APART = 1, 0, -1
+#: Pages that share so much of the larger one's text are copies.
+_COPY = 0.9
 
 
 def _flagged(name: str, rest: str) -> bool:
@@ -208,42 +214,119 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for one, url, page in zip(b.column("page_id").to_pylist(), b.column("url").to_pylist(), b.column("html"), strict=True):
             page = page.as_py()
-            rows.append((_key(one, url, page), *_url_key(url), [_hash(x) for x, _ in blocks(page)]))
+            found = blocks(page)
+            sizes = [0 if place == APART else -len(x) if place == IN_MAIN else len(x) for x, place in found]
+            rows.append((_key(one, url, page), *_url_key(url), [_hash(x) for x, _ in found] + sizes))
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64())))], ["key", "host", "path", "lines"])
 
 
-_EDGE = "kind int, part int, host string, key long, lines array<long>"
+class _Page:
+    """A page's hashes of lines, and their sizes: 0 for lines that markup puts apart, negative for those in the main element."""
+
+    def __init__(self, held, key: int = 0) -> None:
+        n = len(held) // 2
+        self.held, self.key, self.lines = held, key, list(held[:n])
+        self.main = any(x < 0 for x in held[n:])
+        self.sizes = dict(zip(self.lines, (abs(x) for x in held[n:]), strict=True))
+        self.total = sum(self.sizes.values())
+
+    def copies(self, other: _Page) -> bool:
+        if self.lines == other.lines:
+            return True
+        least = _COPY * max(self.total, other.total)
+        return 0 < least <= min(self.total, other.total) and sum(min(n, other.sizes.get(x, 0)) for x, n in self.sizes.items()) >= least
+
+
+_EDGE = "kind int, part int, host string, beyond string, whole boolean, key long, lines array<long>, pages array<array<long>>"
+_SHARED, _OPEN, _ENDS = 0, 1, 3  # one more for what lies after
 
 
 @trimmed
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted pages in; out the lines each shares with a neighbour (kind 0), and the first and last page here (1 and 2)."""
-    part, before = TaskContext.get().partitionId(), None
+    """Sorted pages in. Out: the lines each page shares with one beside it; pages to be paired with one before or after this partition; and the pages at its ends that others may be paired with."""
+    part = TaskContext.get().partitionId()
+    host = before = run = last = None  # run and last: the first pages of this run and of the one before it in the host
+    start, first, second, leading = None, None, None, True  # the first host, its first page and the first one of its second run; whether this is the first run
+    members: list[tuple[int, array]] = []
     for b in batches:
-        rows = []
-        for host, key, lines in zip(b.column("host").to_pylist(), b.column("key").to_pylist(), b.column("lines").to_pylist(), strict=True):
-            if before is None:
-                rows.append((1, part, host, key, lines))
-            elif before[0] == host and before[1] != key:
-                if both := sorted(shared_lines(before[2], lines)):
-                    rows += [(0, part, host, before[1], both), (0, part, host, key, both)]
-            before = (host, key, lines)
+        rows: list[tuple] = []
+        for name, key, held in zip(b.column("host").to_pylist(), b.column("key").to_pylist(), b.column("lines").to_pylist(), strict=True):
+            if before is not None and host == name and before.key == key:
+                continue
+            page = _Page(held, key)
+            if before is None or host != name:
+                if before is None:
+                    start, first = name, page
+                    rows.append(_row(_OPEN, part, name, key=key, lines=held))
+                else:
+                    leading = False
+                host, run, last, members = name, page, None, []
+            else:
+                both = sorted(shared_lines(before.lines, page.lines)) if before.main or page.main else []
+                rows += [_row(_SHARED, part, host, key=x.key, lines=both) for x in (before, page) if x.main and both]
+                if not run.copies(page):
+                    for other, theirs in members:
+                        rows += _pair(_Page(theirs, other), page, part, host)
+                    if leading:
+                        second, leading = page, False
+                    run, last, members = page, run, []
+                if not page.main:
+                    if last is not None:
+                        rows += _pair(page, last, part, host)
+                    elif leading:
+                        rows.append(_row(_OPEN, part, host, key=key, lines=held))
+            if not page.main:
+                members.append((key, array("q", held)))
+            before = page
         yield _edges(rows)
     if before is not None:
-        yield _edges([(2, part, *before)])
+        yield _edges([_row(_OPEN + 1, part, host, key=key, lines=held) for key, held in members] + ([_row(_OPEN + 1, part, host, key=before.key, lines=before.held)] if before.main else []))
+        whole = leading and host == start
+        yield _edges([_row(_ENDS, part, start, host, whole, pages=[x.held for x in (before, run, last) if x is not None]), _row(_ENDS + 1, part, host, start, whole, pages=[x.held for x in (first, first, second) if x is not None])])
+
+
+def _row(kind: int, part: int, host: str, beyond: str | None = None, whole: bool = False, key: int | None = None, lines=None, pages=None) -> tuple:
+    return kind, part, host, beyond, whole, key, lines, pages
+
+
+def _pair(page: _Page, other: _Page, part: int, host: str) -> list[tuple]:
+    """The lines of page that the other has too, unless the two are copies."""
+    both = [] if page.copies(other) else sorted(shared_lines(other.lines, page.lines))
+    return [_row(_SHARED, part, host, key=page.key, lines=both)] if both else []
 
 
 def _edges(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.list_(pa.int64())))], ["kind", "part", "host", "key", "lines"])
+    kinds = (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64())))
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], [x.split()[0] for x in _EDGE.split(", ")])
 
 
 @trimmed
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ends of the partitions in order in; out, for each partition, the page next to it in its host and the first pages of the nearest two runs beyond it."""
+    host, pages = None, []
     for b in batches:
         rows = []
-        for host, key, lines, other, theirs in zip(*(b.column(c).to_pylist() for c in ("host", "key", "lines", "other", "theirs")), strict=True):
-            if both := sorted(shared_lines(theirs, lines)):
-                rows += [(0, 0, host, key, both), (0, 0, host, other, both)]
+        for kind, part, name, beyond, whole, own in zip(*(b.column(c).to_pylist() for c in ("kind", "part", "host", "beyond", "whole", "pages")), strict=True):
+            if pages and host == name:
+                rows.append(_row(kind, part, name, pages=pages))
+                if whole and len(own) == 2:  # one run fills the partition
+                    of = _Page(own[1])
+                    own = (own + [x for x in pages[1:] if not _Page(x).copies(of)])[:3]
+            host, pages = beyond, own
+        yield _edges(rows)
+
+
+@trimmed
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows: list[tuple] = []
+        for host, key, held, pages in zip(*(b.column(c).to_pylist() for c in ("host", "key", "lines", "theirs")), strict=True):
+            page, others = _Page(held, key), [_Page(x) for x in pages]
+            if page.main:
+                if both := sorted(shared_lines(others[0].lines, page.lines)):
+                    rows.append(_row(_SHARED, 0, host, key=key, lines=both))
+            else:
+                rows += next((_pair(page, x, 0, host) for x in others[1:] if not page.copies(x)), [])
         yield _edges(rows)
 
 
@@ -262,7 +345,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     A null page is an empty one, with empty text. A null URL counts as a host of its own name (the empty one). Repeated
     rows are one page to the pairing and come out as often as they went in; of pages with equal URLs the order is by
-    a hash of the row. A page with no neighbour in its host is judged by its markup alone. An empty table gives an
+    a hash of the row. A page with no neighbour in its host but copies of it is judged by its markup alone. An empty table gives an
     empty result; further columns are ignored.
     """
     pages = picked(pages, page_id=id_col, url=url_col, html=html_col)
@@ -270,10 +353,11 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     lines = stored(pages.mapInArrow(_lines, "key long, host string, path string, lines array<long>"))
     ordered = lines.repartitionByRange(partitions(spark), "host", "path", "key").sortWithinPartitions("host", "path", "key")
     found = stored(ordered.mapInArrow(_neighbours, _EDGE))
-    in_order = Window.orderBy("part", "kind")  # two rows a partition
-    edges = found.where("kind > 0").select("*", *(F.lag(c).over(in_order).alias(n) for c, n in (("kind", "k"), ("host", "h"), ("key", "other"), ("lines", "theirs"))))
-    across = edges.where("kind = 1 AND k = 2 AND h = host AND key <> other").select("host", "key", "lines", "other", "theirs").mapInArrow(_across, _EDGE)
-    shared = found.where("kind = 0").union(across).groupBy(F.col("key").alias("of")).agg(F.collect_set("lines").alias("shared"))
+    ends = found.where(f"kind = {_ENDS}"), found.where(f"kind = {_ENDS + 1}")  # a row a partition each
+    ends = [x.repartition(1).sortWithinPartitions(order).mapInArrow(_beyond, _EDGE) for x, order in zip(ends, (F.asc("part"), F.desc("part")), strict=True)]
+    ends = ends[0].union(ends[1]).select((F.col("kind") - (_ENDS - _OPEN)).alias("kind"), "part", "host", F.col("pages").alias("theirs"))
+    across = found.where(f"kind IN ({_OPEN}, {_OPEN + 1})").drop("pages").join(F.broadcast(ends), ["kind", "part", "host"]).select("host", "key", "lines", "theirs").mapInArrow(_across, _EDGE)
+    shared = found.where(f"kind = {_SHARED}").union(across).groupBy(F.col("key").alias("of")).agg(F.collect_set("lines").alias("shared"))
     keyed = pages.mapInArrow(_with_key, "page_id long, url string, html string, key long")
     return keyed.join(shared, F.col("key") == F.col("of"), "left").select("page_id", "url", "html", "shared").mapInArrow(_texts, "page_id long, url string, text string")
 

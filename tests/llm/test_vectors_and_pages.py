@@ -129,6 +129,28 @@ def test_differencing(spark):
     assert H.main_texts(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 4, 40])
+def test_copies_of_pages(spark, parts):
+    """Equal and nearly equal pages beside each other keep their text and lose the template that other pages of the host show."""
+    body = lambda i: f"<div>Story {i} is a long one, and its text is told here at some length.</div><div>It happened on day {i}, as was said by those who were there at the time.</div>"
+    page = lambda i, day=0: f"<div>Welcome to us</div>{body(i)}<div>Read {day}</div><div>All rights kept</div>"
+    text = lambda i, day=0: "\n".join(body(i).replace("</div>", "\n").replace("<div>", "").split("\n")[:2]) + f"\nRead {day}"
+    rows, want = [], {}
+    for i in range(12):
+        for k in range(1 + i * 7 % 5 * 3):  # runs of up to 13, equal or nearly
+            rows.append((100 * i + k, f"https://h.example.com/{i:03d}?v={k:02d}", page(i, k * (i % 2) + 100 * i)))
+            want[100 * i + k] = text(i, k * (i % 2) + 100 * i)
+    rows += [(9000 + k, f"https://copies.example.com/{k}", page(99)) for k in range(7)]
+    want |= {9000 + k: f"Welcome to us\n{text(99)}\nAll rights kept" for k in range(7)}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {r.page_id: r.text for r in H.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == want
+
+
 def test_pages_of_the_table(spark, data):
     """The generator's pages put the text in an article; everything in it and nothing else comes out."""
     import html
