@@ -387,8 +387,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.union(ids.where("n = 0").selectExpr("doc_id", "n AS n_shingles", "doc_id AS component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """docs without near copies: the rows of each class's smallest id stay, once. Rows without an id stay."""
-    spare = near_duplicates(docs, id_col, **how).where("doc_id <> component_id").select(F.col("doc_id").alias("__spare")).distinct()
-    kept = docs.join(spare, docs[f"`{id_col}`"] == F.col("__spare"), "left_anti")
-    return kept.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col]).union(kept.where(F.col(f"`{id_col}`").isNull()))
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """docs without near copies: of each class one row stays, of its smallest id. Where that id has several texts in the class, the one of least hash stays.
+
+    Rows are told apart by id and text hash, so an id that repeats with texts of other classes keeps those. Rows
+    without an id stay; texts without a shingle stay once for each id.
+    """
+    ids, classes = set_classes(docs, id_col, text_col, **how)
+    ids = ids.where("n > 0 AND doc_id IS NOT NULL").select("key", F.struct("doc_id", "row").alias("one"))
+    sets = ids.groupBy("key").agg(F.min("one").alias("least")).join(classes.dropDuplicates(["key"]), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    least = sets.groupBy("root").agg(F.min("least").alias("stays"))
+    named = sets.select("key", "root").join(least, "root").select(F.col("key").alias("k"), "stays")
+    spare = ids.join(named, F.col("key") == F.col("k")).where("one <> stays").select(F.col("one.doc_id").alias("__spare"), F.col("one.row").alias("__spare_row")).distinct()
+    rows = docs.withColumn("__row", F.xxhash64(F.col(f"`{text_col}`")))
+    kept = rows.join(spare, (rows[f"`{id_col}`"] == F.col("__spare")) & (rows["__row"] == F.col("__spare_row")), "left_anti")
+    kept = kept.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col, "__row"]).union(kept.where(F.col(f"`{id_col}`").isNull()))
+    return kept.drop("__row")

@@ -99,6 +99,20 @@ def test_jaccard_ids_that_repeat_or_are_missing(spark):
     assert got.count((None, 56, 5)) == 2
 
 
+def test_one_of_each_with_ids_that_repeat(spark):
+    """Of each class one row stays; other texts of an id aren't touched by what happens to one of them."""
+    base = [f"t{i}" for i in range(60)]
+    near = lambda k: " ".join(base[:k] + [f"n{k}"] + base[k + 1 :])
+    other, third = " ".join(f"o{i}" for i in range(30)), " ".join(f"p{i}" for i in range(30))
+    rows = [(1, " ".join(base)), (5, near(3)), (5, other), (5, other), (5, third), (7, near(30)), (7, other + " more"), (9, ""), (9, None), (None, " ".join(base)), (8, third), (3, near(59)), (3, "a b c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, " ".join(base)), (5, other), (5, third), (9, ""), (9, None), (None, " ".join(base)), (3, "a b c")], key=repr)
+    both = spark.createDataFrame([(2, " ".join(base)), (2, near(5)), (4, near(50))], "doc_id long, text string")
+    assert jaccard_join.one_of_each(both).count() == 1
+
+
 def test_jaccard_exact_threshold(spark):
     # 8 of 10 shingles shared is a link, 7 of 9 is not
     a = " ".join(f"a{i}" for i in range(13))
