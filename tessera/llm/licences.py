@@ -84,7 +84,7 @@ _HINT = re.compile(r"licen[cs]e|permission|redistribut|copyright|warrant|reserve
 _END = re.compile(r"(?<=[.!?;])[\x20\x09-\x0D]+|(?<=:)[\x20\x09]*\n[\x20\x09-\x0D]*|\n[\x20\x09]*\n[\x20\x09-\x0D]*")
 _LINE = re.compile(r"\n")
 _OTHER = re.compile(r"[\W_]+")
-#: No known sentence is longer, so longer ones needn't be normalised.
+#: No known sentence is longer when normalised.
 LONGEST = 1200
 
 
@@ -104,9 +104,11 @@ def sentences(text: str, end: re.Pattern = _END, at: int = 0, stop: int | None =
 
 
 def _recognised(text: str, a: int, b: int) -> tuple[str, dict] | None:
-    if b - a > LONGEST or not _HINT.search(text, a, b):
+    if not _HINT.search(text, a, b):
         return None
     line = normalised(text[a:b])
+    if len(line) > LONGEST:
+        return None
     return next(((name, m.groupdict()) for name, pattern in _KNOWN if (m := pattern.fullmatch(line))), None)
 
 

@@ -414,6 +414,14 @@ def test_licences(spark, odd, none):
     assert out.count() == odd.count() and licences.scan(none).count() == 0
 
 
+def test_licences_padded():
+    """A sentence over several lines is known however much white space or comment box is around its words."""
+    for pad in (" " * 200, " *" * 150, "\t" * 400 + "// "):
+        notice = f"\n{pad}".join("Licensed under the Apache License, Version 2.0;|you may not use|this file except|in compliance|with the|License.".split("|"))
+        assert [x[1] for x in licences.identified("Some prose.\n\n" + notice)] == ["apache-notice", "apache-use"]
+    licences.identified("licence " * 100_000)
+
+
 def test_words_are_hashed_alike_wherever_they_stand():
     rng = random.Random(9)
     texts = [text(rng, 30) for _ in range(20)] + [None, "", "x" * 3000]
