@@ -224,15 +224,50 @@ def test_mixing(spark, odd, seed):
     assert sorted(map(repr, out)) == sorted(map(repr, mixing.mixed(df.repartition(3)).collect()))
 
 
+def near_targets(out):
+    """Each source's taken words come within one document of its target, and no row is taken more than twice."""
+    taken, target, largest = {}, {}, {}
+    for r in out.collect():
+        taken[r.source], target[r.source] = taken.get(r.source, 0) + r.size * r.copies, r.target
+        largest[r.source] = max(largest.get(r.source, 0), r.size)
+        assert 0 <= r.copies <= 2
+    assert all(abs(taken[s] - target[s]) <= largest[s] for s in taken), (taken, target)
+    return taken
+
+
 def test_mixing_odd(odd, none):
     out = mixing.mixed(odd)
     assert out.count() == odd.count() and out.where("size = 0 and copies * size > 0").count() == 0
+    near_targets(out)
     again = mixing.repeated(odd)
     assert again.columns == odd.columns and again.count() == out.agg(F.sum("copies")).first()[0]
-    assert mixing.mixed(none).count() == 0
+    assert mixing.mixed(none).count() == mixing.repeated(none).count() == 0
     assert mixing.mixed(odd.where("text is null")).agg(F.sum(F.col("copies") * F.col("size"))).first()[0] == 0
 
 
+def test_mixing_ids_that_repeat_or_are_missing(spark):
+    """Equal rows are taken in part: 900 rows without an id in three sources, and one source of one id."""
+    words_ = lambda n: " ".join(["w"] * n)
+    rows = [(None, words_(100), f"s{i % 3}") for i in range(900)]
+    taken = near_targets(mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)))
+    assert taken == {"s0": 60_000, "s1": 50_000, "s2": 25_000} or all(abs(taken[s] - t) <= 50 for s, t in (("s0", 60_000), ("s1", 50_000), ("s2", 25_000)))
+    rows = [(7, words_(100), "a") for _ in range(400)] + [(i, words_(100), "b") for i in range(400)] + [(9, words_(i % 150), "c") for i in range(400)] + [(None, words_(i % 150), "c") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    out = mixing.mixed(df)
+    near_targets(out)
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, mixing.mixed(df.repartition(2)).collect()))
+    again = mixing.repeated(df)
+    want = {(r.source, r.doc_id, r.size): r.n for r in out.groupBy("source", "doc_id", "size").agg(F.sum("copies").alias("n")).where("n > 0").collect()}
+    assert {(r.source, r.doc_id, r.size): r.n for r in again.groupBy("source", "doc_id", mixing.word_count(F.col("text")).alias("size")).agg(F.count("*").alias("n")).collect()} == want
+
+
+def test_mixing_names_that_clash(spark):
+    df = spark.createDataFrame([(i, f"a b {i}", "s", 1, 2, 3, 4) for i in range(30)], "doc_id long, text string, source string, __copies int, key int, of int, `copies` int")
+    out = mixing.repeated(df)
+    assert out.columns == df.columns and out.where("__copies = 1 and key = 2 and of = 3 and copies = 4").count() == out.count() == 45
+    assert mixing.mixed(df).count() == 30
+
+
 def brute_pii(t):
     out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
