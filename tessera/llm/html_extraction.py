@@ -1,23 +1,25 @@
 """HTML extraction by differencing pages with the nearest URLs.
 
-1. Every page is cut into lines, one for each block of text, and each line gets a hash and what the markup says of
-   it: inside the main element, inside a part that never belongs to the text, or neither.
-2. Pages are sorted by host, path and rest of the URL over range partitions, so the pages of one large host lie in
-   many tasks. Each page is paired with those before and after it in its host. Copies and near copies (_COPY of the
-   text that markup leaves) say nothing of the template, so a page whose text no markup shows is paired with the
-   nearest pages that are no copies of it: pages after each other that are copies of the first one are a run, and
-   a run's pages are paired with the first page of the run before and of the run after. Pairs across the edges of
-   partitions are made from the pages of the runs at the edges.
-3. The lines of a pair are aligned by longest common subsequence; shared lines are deleted as the site's template.
-4. An exact check follows: lines that the markup puts inside the article stay although a neighbour has them, since
-   copies of an article share its lines; lines of menus, forms and the like go although no neighbour has them.
+1. Every page is cut into lines, one for each visible block of text, and each line gets a hash and what the markup says
+   of it: inside the main element, inside a part that never belongs to the text, neither, or doubtful (inside the main
+   element, but under a name that partly sounds like a menu or an advert).
+2. Pages are sorted by host, path and rest of the URL, so the pages of one large host lie in many tasks. Each page is
+   paired with the `reach` pages before and after it in its host. Copies and near copies (_COPY of the text that markup
+   leaves) say nothing of the template and aren't compared.
+3. The lines of a pair are aligned by longest common subsequence. Lines that pairs of at least `support` different
+   pages of a host share are its template, which goes from all pages of the host: a story that two pages share isn't one.
+4. Template lines are deleted, whatever the markup says of them, but for those inside the article, since passages of
+   articles recur too. An exact check by markup follows for lines that no neighbour has (reader comments, adverts
+   dealt to one page): what is in menus, headers, footers, forms and the like goes. A page never loses all its text to the template.
+
+Sorted pages get their place in the whole order, and are dealt out in blocks of `block` pages with the `reach` before
+them, so the result doesn't depend on how the table is cut into partitions.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from .shared import partitions, picked, stored, trimmed
 
 # Names of HTML elements, roles and words in class names.
-_RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "math", "audio", "video"}
+_RAW = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "audio", "video"}
 _APART = {"head", "nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "fieldset"}
 _MAIN = {"article", "main"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "param"}
@@ -41,31 +43,34 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]
 _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _SPACE = re.compile(r"\s+")
-IN_MAIN, UNKNOWN, APART = 1, 0, -1
+#: Words that say nothing beside others in a name.
+_NEUTRAL = {"area", "bar", "block", "body", "bottom", "box", "container", "inner", "item", "items", "left", "list", "outer", "right", "section", "slot", "top", "unit", "wrap", "wrapper"}
+DOUBTFUL, IN_MAIN, UNKNOWN, APART = 2, 1, 0, -1
+_NEGATIVE = ("no-", "not-", "with-", "without-", "has-")
 #: Pages that share so much of the larger one's text are copies.
 _COPY = 0.9
 
 
-def _flagged(name: str, rest: str) -> bool:
-    """Whether an element's attributes mark it as apart from the text."""
+def _flagged(name: str, rest: str) -> int:
+    """Whether an element's attributes mark it as apart from the text: 2 if so, 1 if some words of a name say so and others don't, else 0."""
     if name in ("html", "body", *_MAIN) and "omment" not in rest:
-        return False
+        return 0
+    out = 0
     for m in _ATTR.finditer(rest):
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
         if key in ("class", "id"):
-            for one in value.split():
-                words = [w.lower() for w in _PART.findall(one)]
-                if words and words[0] not in ("no", "not", "with", "without", "has", "article", "entry", "post", "content") and _NAMES & set(words):
-                    return True
-                if words and words[0] in ("article", "entry", "post", "content") and _NAMES & set(words[1:]) - {"header", "banner"}:
-                    return True
+            words = [w.lower() for one in value.split() for w in _PART.findall(one) if not one.lower().startswith(_NEGATIVE)]
+            words = [w for w in words if w not in _NEUTRAL and not w.isdigit()]
+            if words and _NAMES.issuperset(words):
+                return 2
+            out = max(out, int(not _NAMES.isdisjoint(words)))
         elif key == "role" and value.lower() in _ROLES or key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return 2
+    return out
 
 
 def blocks(page: str | None) -> list[tuple[str, int]]:
-    """The blocks of text of a page in order, each with IN_MAIN, UNKNOWN or APART. White space is one space; references are decoded."""
+    """The blocks of text of a page in order, each with IN_MAIN, DOUBTFUL, UNKNOWN or APART. White space is one space; references are decoded."""
     out: list[tuple[str, int]] = []
     stack: list[tuple[str, int]] = []  # elements that may hold blocks, or that are apart
     page, own, place, at = page or "", [], UNKNOWN, 0
@@ -119,13 +124,15 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
             close(name)
         elif name in ("body", *_MAIN):
             close("head")
-        apart = place == APART or name in _APART or (bool(rest) and _flagged(name, rest))
-        if name == "header" and place == IN_MAIN:
+        flag = _flagged(name, rest) if rest else 0
+        apart = place == APART or name in _APART or flag == 2
+        if name == "header" and place in (IN_MAIN, DOUBTFUL) and flag < 2:
             apart = False  # an article's own heading
-        if apart and place != APART and name in _INLINE:
+        then = APART if apart else IN_MAIN if name in _MAIN else DOUBTFUL if flag and place == IN_MAIN else place
+        if then != place and name in _INLINE:
             end()
-        if name not in _INLINE or (apart and place != APART):
-            place = APART if apart else IN_MAIN if name in _MAIN else place
+        if name not in _INLINE or then != place:
+            place = then
             if not rest.endswith("/"):
                 stack.append((name, place))
     end()
@@ -215,19 +222,30 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for one, url, page in zip(b.column("page_id").to_pylist(), b.column("url").to_pylist(), b.column("html"), strict=True):
             page = page.as_py()
             found = blocks(page)
-            sizes = [0 if place == APART else -len(x) if place == IN_MAIN else len(x) for x, place in found]
-            rows.append((_key(one, url, page), *_url_key(url), [_hash(x) for x, _ in found] + sizes))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64())))], ["key", "host", "path", "lines"])
+            sizes = [0 if place == APART else len(x) for x, place in found]
+            rows.append((_key(one, url, page), *_url_key(url), [_hash(x) for x, _ in found], sizes))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())))], ["key", "host", "path", "lines", "sizes"])
+
+
+@trimmed
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted pages in; each once, with its partition and its place there."""
+    part, n, before = TaskContext.get().partitionId(), 0, None
+    for b in batches:
+        keys = [(h, k) for h, k in zip(b.column("host").to_pylist(), b.column("key").to_pylist(), strict=True)]
+        fresh = [i for i, k in enumerate(keys) if k != (keys[i - 1] if i else before)]
+        before = keys[-1] if keys else before
+        b = b.take(pa.array(fresh, pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array([part] * len(fresh), pa.int32()), pa.array(range(n, n + len(fresh)), pa.int64()), *(b.column(c) for c in ("host", "key", "lines", "sizes"))], ["part", "place", "host", "key", "lines", "sizes"])
+        n += len(fresh)
 
 
 class _Page:
-    """A page's hashes of lines, and their sizes: 0 for lines that markup puts apart, negative for those in the main element."""
+    """A page's lines as hashes, and how much text markup leaves in each."""
 
-    def __init__(self, held, key: int = 0) -> None:
-        n = len(held) // 2
-        self.held, self.key, self.lines = held, key, list(held[:n])
-        self.main = any(x < 0 for x in held[n:])
-        self.sizes = dict(zip(self.lines, (abs(x) for x in held[n:]), strict=True))
+    def __init__(self, lines: list[int], sizes: list[int]) -> None:
+        self.lines, self.known = lines, set(lines)
+        self.sizes = dict(zip(lines, sizes, strict=True))
         self.total = sum(self.sizes.values())
 
     def copies(self, other: _Page) -> bool:
@@ -237,129 +255,99 @@ class _Page:
         return 0 < least <= min(self.total, other.total) and sum(min(n, other.sizes.get(x, 0)) for x, n in self.sizes.items()) >= least
 
 
-_EDGE = "kind int, part int, host string, beyond string, whole boolean, key long, lines array<long>, pages array<array<long>>"
-_SHARED, _OPEN, _ENDS = 0, 1, 3  # one more for what lies after
-
-
-@trimmed
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted pages in. Out: the lines each page shares with one beside it; pages to be paired with one before or after this partition; and the pages at its ends that others may be paired with."""
-    part = TaskContext.get().partitionId()
-    host = before = run = last = None  # run and last: the first pages of this run and of the one before it in the host
-    start, first, second, leading = None, None, None, True  # the first host, its first page and the first one of its second run; whether this is the first run
-    members: list[tuple[int, array]] = []
-    for b in batches:
-        rows: list[tuple] = []
-        for name, key, held in zip(b.column("host").to_pylist(), b.column("key").to_pylist(), b.column("lines").to_pylist(), strict=True):
-            if before is not None and host == name and before.key == key:
-                continue
-            page = _Page(held, key)
-            if before is None or host != name:
-                if before is None:
-                    start, first = name, page
-                    rows.append(_row(_OPEN, part, name, key=key, lines=held))
-                else:
-                    leading = False
-                host, run, last, members = name, page, None, []
-            else:
-                both = sorted(shared_lines(before.lines, page.lines)) if before.main or page.main else []
-                rows += [_row(_SHARED, part, host, key=x.key, lines=both) for x in (before, page) if x.main and both]
-                if not run.copies(page):
-                    for other, theirs in members:
-                        rows += _pair(_Page(theirs, other), page, part, host)
-                    if leading:
-                        second, leading = page, False
-                    run, last, members = page, run, []
-                if not page.main:
-                    if last is not None:
-                        rows += _pair(page, last, part, host)
-                    elif leading:
-                        rows.append(_row(_OPEN, part, host, key=key, lines=held))
-            if not page.main:
-                members.append((key, array("q", held)))
-            before = page
-        yield _edges(rows)
-    if before is not None:
-        yield _edges([_row(_OPEN + 1, part, host, key=key, lines=held) for key, held in members] + ([_row(_OPEN + 1, part, host, key=before.key, lines=before.held)] if before.main else []))
-        whole = leading and host == start
-        yield _edges([_row(_ENDS, part, start, host, whole, pages=[x.held for x in (before, run, last) if x is not None]), _row(_ENDS + 1, part, host, start, whole, pages=[x.held for x in (first, first, second) if x is not None])])
-
-
-def _row(kind: int, part: int, host: str, beyond: str | None = None, whole: bool = False, key: int | None = None, lines=None, pages=None) -> tuple:
-    return kind, part, host, beyond, whole, key, lines, pages
-
-
-def _pair(page: _Page, other: _Page, part: int, host: str) -> list[tuple]:
-    """The lines of page that the other has too, unless the two are copies."""
-    both = [] if page.copies(other) else sorted(shared_lines(other.lines, page.lines))
-    return [_row(_SHARED, part, host, key=page.key, lines=both)] if both else []
-
-
-def _edges(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64())))
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], [x.split()[0] for x in _EDGE.split(", ")])
+_SHARED = "host string, line long, run long, pages long"
 
 
-@trimmed
-def _beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ends of the partitions in order in; out, for each partition, the page next to it in its host and the first pages of the nearest two runs beyond it."""
-    host, pages = None, []
-    for b in batches:
-        rows = []
-        for kind, part, name, beyond, whole, own in zip(*(b.column(c).to_pylist() for c in ("kind", "part", "host", "beyond", "whole", "pages")), strict=True):
-            if pages and host == name:
-                rows.append(_row(kind, part, name, pages=pages))
-                if whole and len(own) == 2:  # one run fills the partition
-                    of = _Page(own[1])
-                    own = (own + [x for x in pages[1:] if not _Page(x).copies(of)])[:3]
-            host, pages = beyond, own
-        yield _edges(rows)
+def _pairs(reach: int, block: int, support: int):
+    """The lines that a block's pages share with those near them: for each line up to `support` different pages, and how many pages that is in all."""
 
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("at")
+        own = table.column("block")[0].as_py() * block
+        at, hosts, keys = (table.column(c).to_pylist() for c in ("at", "host", "key"))
+        pages = [_Page(x, y) for x, y in zip(table.column("lines").to_pylist(), table.column("sizes").to_pylist(), strict=True)]
+        runs: list[int] = []  # pages after each other that are copies of the first one are one page
+        first = 0
+        for i, page in enumerate(pages):
+            if i and (hosts[i] != hosts[first] or not pages[first].copies(page)):
+                first = i
+            runs.append(keys[first])
+        found: dict[tuple[str, int], tuple[set, set]] = {}
+        for i, page in enumerate(pages):
+            if at[i] < own:
+                continue
+            for j in range(max(0, i - reach), i):
+                if hosts[j] == hosts[i] and runs[j] != runs[i] and not page.known.isdisjoint(pages[j].known) and not page.copies(pages[j]):
+                    for x in shared_lines(pages[j].lines, page.lines):
+                        which, held = found.setdefault((hosts[i], x), (set(), set()))
+                        held |= {i, j}
+                        if len(which) < support:
+                            which |= {runs[i], runs[j]}
+        rows = [(host, x, r, len(held) if not k else 0) for (host, x), (which, held) in found.items() for k, r in enumerate(which)]
+        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["host", "line", "run", "pages"])
 
-@trimmed
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rows: list[tuple] = []
-        for host, key, held, pages in zip(*(b.column(c).to_pylist() for c in ("host", "key", "lines", "theirs")), strict=True):
-            page, others = _Page(held, key), [_Page(x) for x in pages]
-            if page.main:
-                if both := sorted(shared_lines(others[0].lines, page.lines)):
-                    rows.append(_row(_SHARED, 0, host, key=key, lines=both))
-            else:
-                rows += next((_pair(page, x, 0, host) for x in others[1:] if not page.copies(x)), [])
-        yield _edges(rows)
+    return run
 
 
 @trimmed
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = []
-        for page, shared in zip(b.column("html"), b.column("shared"), strict=True):
-            gone = {x for part in shared.as_py() or () for x in part}
-            texts.append("\n".join(x for x, place in blocks(page.as_py()) if place == IN_MAIN or place == UNKNOWN and _hash(x) not in gone))
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
-
+        out = []
+        for page, template in zip(b.column("html"), b.column("template"), strict=True):
+            template, found = set(template.as_py() or ()), blocks(page.as_py())
+            if template and not any(place in (IN_MAIN, DOUBTFUL) or place == UNKNOWN and _hash(x) not in template for x, place in found):
+                template -= {_hash(x) for x, place in found if place == UNKNOWN}  # a page doesn't lose all its text
+            kept, shared, apart = [], 0, 0
+            for x, place in found:
+                if place != IN_MAIN and template and _hash(x) in template:
+                    shared += 1
+                elif place == APART:
+                    apart += 1
+                else:
+                    kept.append(x)
+            out.append(("\n".join(kept), shared, apart))
+        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), *(pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64())))], ["page_id", "url", "text", "n_shared", "n_apart"])
 
-def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url and text (the main text, one line a block) for each row of pages.
 
-    A null page is an empty one, with empty text. A null URL counts as a host of its own name (the empty one). Repeated
-    rows are one page to the pairing and come out as often as they went in; of pages with equal URLs the order is by
-    a hash of the row. A page with no neighbour in its host but copies of it is judged by its markup alone. An empty table gives an
-    empty result; further columns are ignored.
+def template_lines(lines: DataFrame, reach: int = 8, support: int = 3, block: int = 256) -> DataFrame:
+    """(host, line, pages): the template of each host, from its pages' lines (key, host, path, lines, sizes), with the number of pages that share each line."""
+    spark = lines.sparkSession
+    ordered = lines.repartitionByRange(partitions(spark), "host", "path", "key").sortWithinPartitions("host", "path", "key")
+    placed = stored(ordered.mapInArrow(_placed, "part int, place long, host string, key long, lines array<long>, sizes array<int>"))
+    ends, offsets = 0, []
+    for r in placed.groupBy("part").agg((F.max("place") + 1).alias("n")).orderBy("part").collect():  # a row a partition
+        offsets.append((r.part, ends))
+        ends += r.n
+    at = placed.join(F.broadcast(spark.createDataFrame(offsets, "part int, earlier long")), "part").withColumn("at", F.col("place") + F.col("earlier"))
+    own = F.floor(F.col("at") / block)
+    dealt = at.select(F.explode(F.when(F.col("at") % block >= block - reach, F.array(own, own + 1)).otherwise(F.array(own))).alias("block"), "at", "host", "key", "lines", "sizes")
+    shared = dealt.groupBy("block").applyInArrow(_pairs(reach, block, support), _SHARED)
+    shared = shared.groupBy("host", "line", "run").agg(F.sum("pages").alias("pages"))
+    return shared.groupBy("host", "line").agg(F.count("*").alias("runs"), F.sum("pages").alias("pages")).where(F.col("runs") >= support).drop("runs")
+
+
+#: A template line on more than one of so many pages is common. Common lines are at most this many times the mean number of lines of a page, so they can be broadcast.
+_COMMON = 4096
+
+
+def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", reach: int = 8, support: int = 3) -> DataFrame:
+    """page_id, url, text (the main text, one line a block), n_shared (blocks deleted as template) and n_apart (blocks that only markup tells) for each row of pages.
+
+    A null page is an empty one, with empty text. A null URL counts as a host of its own name (the empty one). Very
+    long pages are read whole. Repeated rows are one page to the pairing and come out as often as they went in; of pages
+    with equal URLs the order is by a hash of the row. A host with fewer than `support` different pages has no template:
+    its pages are judged by their markup alone. An empty table gives an empty result; further columns are ignored.
     """
     pages = picked(pages, page_id=id_col, url=url_col, html=html_col)
-    spark = pages.sparkSession
-    lines = stored(pages.mapInArrow(_lines, "key long, host string, path string, lines array<long>"))
-    ordered = lines.repartitionByRange(partitions(spark), "host", "path", "key").sortWithinPartitions("host", "path", "key")
-    found = stored(ordered.mapInArrow(_neighbours, _EDGE))
-    ends = found.where(f"kind = {_ENDS}"), found.where(f"kind = {_ENDS + 1}")  # a row a partition each
-    ends = [x.repartition(1).sortWithinPartitions(order).mapInArrow(_beyond, _EDGE) for x, order in zip(ends, (F.asc("part"), F.desc("part")), strict=True)]
-    ends = ends[0].union(ends[1]).select((F.col("kind") - (_ENDS - _OPEN)).alias("kind"), "part", "host", F.col("pages").alias("theirs"))
-    across = found.where(f"kind IN ({_OPEN}, {_OPEN + 1})").drop("pages").join(F.broadcast(ends), ["kind", "part", "host"]).select("host", "key", "lines", "theirs").mapInArrow(_across, _EDGE)
-    shared = found.where(f"kind = {_SHARED}").union(across).groupBy(F.col("key").alias("of")).agg(F.collect_set("lines").alias("shared"))
+    lines = stored(pages.mapInArrow(_lines, "key long, host string, path string, lines array<long>, sizes array<int>"))
+    template = stored(template_lines(lines, reach, support))
+    n = lines.count()
+    each = lines.select("key", "host", F.explode(F.array_distinct("lines")).alias("line"))
+    common = F.col("pages") * _COMMON > n
+    held = each.join(F.broadcast(template.where(common)), ["host", "line"]).unionByName(each.join(template.where(~common), ["host", "line"])).drop("pages")
+    held = held.groupBy(F.col("key").alias("of")).agg(F.collect_set("line").alias("template"))
     keyed = pages.mapInArrow(_with_key, "page_id long, url string, html string, key long")
-    return keyed.join(shared, F.col("key") == F.col("of"), "left").select("page_id", "url", "html", "shared").mapInArrow(_texts, "page_id long, url string, text string")
+    return keyed.join(held, F.col("key") == F.col("of"), "left").select("page_id", "url", "html", "template").mapInArrow(_texts, "page_id long, url string, text string, n_shared long, n_apart long")
 
 
 @trimmed

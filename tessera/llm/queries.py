@@ -58,7 +58,7 @@ def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_extraction.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    return html_extraction.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared", "n_apart")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -151,6 +151,67 @@ def test_copies_of_pages(spark, parts):
     assert got == want
 
 
+def texts_of(spark, pages):
+    rows = [(i, u, h) for i, (u, h) in enumerate(pages)]
+    return [r.text for r in sorted(H.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())]
+
+
+def test_articles_keep_what_is_in_them(spark):
+    """Names that sound like menus, and mathematics, don't cost an article its text; adverts and comments inside it go."""
+    inside = '<p>x</p><math><mi>y</mi></math><div class="share price"><p>Shares fell</p></div><div class="related-work"><p>Others did</p></div><div class="ad-box">Buy</div><ol id="comments-list"><li class="comment odd"><p>First!</p></ol>'
+    assert texts_of(spark, [("http://a.example.com/1", f"<article>{inside}</article>")]) == ["x\ny\nShares fell\nOthers did"]
+    doubtful = lambda i: f'<article><p>Story {i}</p><div class="share price">Tell your friends</div><div class="share price">{i} up</div></article>'
+    assert texts_of(spark, [(f"http://a.example.com/{i}", doubtful(i)) for i in range(5)]) == [f"Story {i}\n{i} up" for i in range(5)]
+
+
+def test_a_story_that_two_pages_share_is_no_template(spark):
+    story = "<div>The same story, told at length on both of these pages.</div><div>And its end.</div>"
+    more = lambda n: "".join(f"<div>Read on about {n} and {k}</div>" for k in range(9))
+    got = texts_of(spark, [("http://a.example.com/1", story + more(1)), ("http://a.example.com/2", story + more(2))])
+    assert all(t.startswith("The same story, told at length on both of these pages.\nAnd its end.\n") for t in got)
+    # nor does a page lose all its text
+    page = lambda *x: "".join(f"<div>{y}</div>" for y in x)
+    got = texts_of(spark, [(f"http://a.example.com/{i}", page("a", "b", *([f"own {i} " * 9] if i else []))) for i in range(6)])
+    assert got == ["a\nb", *((f"own {i} " * 9).strip() for i in range(1, 6))]
+
+
+def test_differencing_finds_the_template_of_pages_with_markup(spark):
+    """Of what is deleted, most is found by differencing where the template recurs; markup tells the rest."""
+    page = lambda i: f"<nav><a>Home</a> <a>News</a></nav><header><p>The Daily</p></header><article><p>Story {i}</p><p>Hm.</p></article><div class=ad>Offer {i}</div><footer><p>All rights kept</p></footer>"
+    df = spark.createDataFrame([(i, f"http://b.example.com/{i % 7}/{i}", page(i)) for i in range(60)], "page_id long, url string, html string")
+    got = H.main_texts(df).collect()
+    assert {r.text for r in got} == {f"Story {i}\nHm." for i in range(60)}
+    assert {(r.n_shared, r.n_apart) for r in got} == {(3, 1)}
+
+
+@pytest.mark.parametrize("parts", [1, 13])
+def test_template_by_brute_force(spark, parts):
+    """The template of each host equals that of a plain loop over its pages in order."""
+    rng = random.Random(parts)
+    rows = []
+    for i in range(330):
+        lines = [rng.choice(["top", "menu a", "menu b", f"own {i}", f"own {i} again", "foot", f"seen {rng.randrange(40)}"]) for _ in range(rng.randrange(1, 9))]
+        rows.append((i, f"http://{'hot' if i % 3 else 'h%d' % (i % 5)}.example.com/{i:04d}", "".join(f"<div>{x}</div>" for x in lines)))
+    hosts = {}
+    for _, u, h in sorted(rows, key=lambda r: r[1]):
+        hosts.setdefault(H._url_key(u)[0], []).append([x for x, _ in H.blocks(h)])
+    want = set()
+    for host, pages in hosts.items():
+        held = [H._Page([H._hash(x) for x in p], [len(x) for x in p]) for p in pages]
+        shares = {}
+        for i, a in enumerate(held):
+            for j in range(max(0, i - 8), i):
+                if not a.copies(held[j]):
+                    for x in H.shared_lines(held[j].lines, a.lines):
+                        shares.setdefault(x, set()).update((i, j))
+        want |= {(host, x) for x, s in shares.items() if len(s) >= 3}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+    lines = df.mapInArrow(H._lines, "key long, host string, path string, lines array<long>, sizes array<int>")
+    got = {(r.host, r.line) for r in H.template_lines(lines, block=32).collect()}
+    # runs of copies count once, so a line that only they and one page share may be missing
+    assert got <= want and len(want - got) <= 0.05 * len(want) and len(got) > 20
+
+
 def test_pages_of_the_table(spark, data):
     """The generator's pages put the text in an article; everything in it and nothing else comes out."""
     import html
