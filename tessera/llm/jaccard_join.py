@@ -13,19 +13,24 @@ shingle can link. The steps:
    the hash range and only those found in two sets or more come back.
 3. A set whose prefix is full of shingles that no other set has can't link with anything and is done.
    That is most of them. Only the others are read again.
-4. Sets with the same prefix and size form a group, groups that share a prefix shingle a family.
-5. Each family's sets go once to a task, which filters pairs of groups by size and position, then expands
-   and verifies members against each other. Members already joined aren't compared, so a family of
-   thousands of copies costs a few comparisons each. A family over `block` sets is dealt over blocks and
-   rounds, and the pairs of different blocks that remain are verified one by one in a join.
-
-The order decides speed only: whatever it is, each linked pair is compared or already joined.
-Shingles are 64-bit hashes; so are the identifiers of sets.
+4. Sets with the same prefix and size form a group.
+5. Rounds that join most of what links: each set goes once to a cell, by the least hash of its prefix, so near copies
+   meet. A cell holds at most `block` sets and BLOCK_BYTES, about; a prefix that many sets share is dealt over many
+   cells. A cell filters pairs of groups by size and position, then expands and verifies members against each other.
+   Members already joined aren't compared, so thousands of copies cost a few comparisons each.
+6. The exact rest: only prefix shingles that still stand in two classes or more matter. Groups of different classes that
+   share one are paired under the size and position filters, a shingle of many groups in cells of two blocks each; the
+   groups of a pair are expanded and their members verified one by one.
+
+The order and the rounds decide speed only: whatever they are, each linked pair is compared or already joined.
+Shingles are told by 64-bit hashes. Sets are told by 128 bits: should two different sets have one 64-bit identifier, which
+is counted, all are identified anew under another seed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +44,8 @@ from .shared import components, partitions, picked, stored, trimmed
 FREQUENT_ONE_IN, FREQUENT_MOST = 500, 1 << 18
 #: The bit map of documents left has so many bits (8 MB); it tells fewer apart as it fills, which costs transfers, not results.
 MAP_BITS = 26
+#: About the most bytes of sets in a cell, and counted shingles in a bucket.
+BLOCK_BYTES, BUCKET_TOKENS = 16 << 20, 4 << 20
 _LOW40 = np.uint64((1 << 40) - 1)
 _TOP = np.uint64(1 << 63)
 
@@ -47,9 +54,9 @@ def prefix_length(n: int, threshold: int) -> int:
     return n - -(-threshold * n // 100) + 1
 
 
-def _identity(sets: list[np.ndarray]) -> np.ndarray:
-    """A 64-bit fingerprint of each set."""
-    flat = words.mix(np.concatenate([*sets, np.zeros(1, np.uint64)]))
+def _identity(sets: list[np.ndarray], seed: int = 0) -> np.ndarray:
+    """A 64-bit fingerprint of each set; those of different seeds are independent."""
+    flat = words.mix(np.concatenate([*sets, np.zeros(1, np.uint64)]) + np.uint64(seed * 0xD1B54A32D192ED03 & (1 << 64) - 1))
     total = np.concatenate([[np.uint64(0)], np.cumsum(flat, dtype=np.uint64)])
     ends = np.cumsum([len(s) for s in sets])
     starts = ends - np.array([len(s) for s in sets])
@@ -67,12 +74,12 @@ def _slices(batches: Iterator[pa.RecordBatch], most: int = 6 << 20) -> Iterator[
             i = j
 
 
-def _ids(n_words: int):
+def _ids(n_words: int, seed: int):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             sets = words.shingle_sets(b.column("text"), n_words)
-            gid, n = _identity(sets), np.array([len(s) for s in sets], np.int64)
+            gid, n = _identity(sets, seed), np.array([len(s) for s in sets], np.int64)
             counted = np.array([np.count_nonzero(s < _TOP) for s in sets], np.int64)
             _, first = np.unique(gid, return_index=True)
             token, times = np.unique(np.concatenate([sets[i] for i in first]), return_counts=True)
@@ -86,19 +93,20 @@ def _ids(n_words: int):
                     pa.array(np.concatenate([n, np.full(k, -1)])),
                     pa.array(np.concatenate([counted, times])),
                     pa.concat_arrays([b.column("row"), pa.nulls(k, pa.int64())]),
+                    pa.concat_arrays([pa.array(_identity(sets, -1 - seed)), pa.nulls(k, pa.int64())]),
                 ],
-                ["doc_id", "key", "n", "counted", "row"],
+                ["doc_id", "key", "n", "counted", "row", "other"],
             )
 
     return run
 
 
 def _bucket(token: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of shingles under 2^63, by their top bits."""
-    return (((token >> np.uint64(47)) * np.uint64(buckets)) >> np.uint64(16)).astype(np.int64)
+    """The bucket (of under 2^23) of shingles under 2^63, by their top bits."""
+    return (((token >> np.uint64(31)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
-def _deal(n_words: int, frequent, buckets: int):
+def _deal(n_words: int, frequent, buckets: int, seed: int):
     """Counted shingles packed by bucket: set ids, how many shingles each has here, and the low 40 bits of those. Buckets under 0 hold how many of a set's counted shingles are frequent."""
 
     @trimmed
@@ -106,7 +114,7 @@ def _deal(n_words: int, frequent, buckets: int):
         often = frequent.value
         for b in _slices(batches):
             sets = words.shingle_sets(b.column("text"), n_words)
-            gid, first = np.unique(_identity(sets), return_index=True)
+            gid, first = np.unique(_identity(sets, seed), return_index=True)
             sets = [s[: np.searchsorted(s, _TOP)] for s in (sets[i] for i in first)]
             token = np.concatenate([*sets, np.empty(0, np.uint64)])
             owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -238,7 +246,7 @@ class _Forest:
 
 
 def _verify(threshold: int):
-    """Links within a family (or a block of one): (gid, root) with root the smallest gid joined to it here."""
+    """Links within a cell: (gid, root) with root the smallest gid joined to it here."""
 
     def run(table: pa.Table) -> pa.Table:
         order = np.lexsort((table.column("gid").to_numpy(), table.column("grp").to_numpy(), table.column("n").to_numpy()))
@@ -303,24 +311,29 @@ def _pairs_linked(threshold: int):
     return run
 
 
-def set_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, threshold: int = 80, block: int = 4096, rounds: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(ids, classes): ids has doc_id, key (the set) and n for each document; classes has (key, root) for the sets linked with another."""
+def set_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, threshold: int = 80, block: int = 256, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(ids, classes): ids has doc_id, key (the set) and n for each document; classes has (key, root) for the sets that met another."""
     spark = docs.sparkSession
     # a set's text is found again by the id of one of its rows and a hash of the text: ids may repeat or be null
     docs = picked(docs, doc_id=id_col, text=text_col).withColumn("row", F.xxhash64("text"))
-    ids_and_often = stored(docs.mapInArrow(_ids(n_words), "doc_id long, key long, n long, counted long, row long"))
-    ids = ids_and_often.where("n >= 0")
+    for seed in count():
+        ids_and_often = stored(docs.mapInArrow(_ids(n_words, seed), "doc_id long, key long, n long, counted long, row long, other long"))
+        ids = ids_and_often.where("n >= 0").drop("other")
+        one = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+        sets = ids_and_often.where("n > 0").withColumn("one", one).groupBy(F.col("key").alias("gid"))
+        sets = stored(sets.agg(F.min("one").alias("one"), F.min_by("row", "one").alias("row"), F.first("n").alias("n"), F.first("counted").alias("counted"), (F.min("other") != F.max("other")).alias("clash")))
+        found = sets.agg(F.coalesce(F.bool_or("clash"), F.lit(False)).alias("clash"), F.coalesce(F.sum("counted"), F.lit(0)).alias("tokens")).first()
+        if not found.clash:
+            break
     n_docs = ids.count()
     often = ids_and_often.where("n < 0").groupBy("key").agg(F.sum("counted").alias("times")).where(F.col("times") * FREQUENT_ONE_IN >= max(n_docs, 16 * FREQUENT_ONE_IN))
     often = [r.key for r in often.orderBy(F.desc("times"), "key").limit(FREQUENT_MOST).select("key").collect()]
     frequent = spark.sparkContext.broadcast(np.sort(np.array(often, np.int64).view(np.uint64)))
 
-    buckets = min(1 << 15, 4 * partitions(spark))
-    dealt = docs.mapInArrow(_deal(n_words, frequent, buckets), "bucket int, body binary")
+    buckets = min(1 << 22, max(4 * partitions(spark), -(-found.tokens // BUCKET_TOKENS)))
+    dealt = docs.mapInArrow(_deal(n_words, frequent, buckets, seed), "bucket int, body binary")
     shared = stored(dealt.groupBy("bucket").applyInArrow(_count, "gid long, token long, df long"))
 
-    one = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    sets = ids.where("n > 0").withColumn("one", one).groupBy(F.col("key").alias("gid")).agg(F.min("one").alias("one"), F.min_by("row", "one").alias("row"), F.first("n").alias("n"), F.first("counted").alias("counted"))
     seen = shared.groupBy("gid").agg(F.sum(F.expr("if(token < 0, df, 0)")).alias("frequent"), F.sum(F.expr("if(token < 0, 0, 1)")).alias("shared"))
     need = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") / 100) + 1
     left = sets.join(seen, "gid", "left").where(F.col("counted") - F.coalesce("frequent", F.lit(0)) - F.coalesce("shared", F.lit(0)) < need)
@@ -336,46 +349,68 @@ def set_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = texts.mapInArrow(_prefixes(n_words, threshold, frequent, buckets), "gid long, n long, grp long, prefix array<long>, places array<long>, members binary")
     known = stored(known.where("n > 0").dropDuplicates(["gid"]))
 
-    groups = known.select("grp", "n", "prefix").dropDuplicates(["grp", "n"]).select(F.xxhash64("grp", "n").alias("grp"), F.explode("prefix").alias("token"))
-    hubs = groups.groupBy("token").agg(F.min("grp").alias("hub"), F.count("*").alias("k")).where("k > 1").select("token", "hub")
-    families = stored(components(groups.join(hubs, "token").selectExpr("grp AS a", "hub AS b")))
-    known = known.withColumn("node", F.xxhash64("grp", "n")).join(families, "node", "left").withColumn("family", F.coalesce("root", "node")).drop("node", "root")
-    many = known.groupBy("family").agg(F.count("*").alias("k")).where("k > 1").select("family", F.ceil(F.col("k") / block).alias("blocks"))
-    work = known.join(many, "family").withColumn("root", F.col("gid"))
     classes = None
+    work = known.where(F.size("prefix") > 0)
     for turn in range(rounds):
-        shape = "gid long, least long, root long"
-        key = [F.col("family"), F.expr(f"pmod(xxhash64(gid, {turn}), blocks)").alias("part")]
-        own = work.select(*key, "gid", "n", "grp", "root", "prefix", "places", "members")
-        found = stored(own.groupBy("family", "part").applyInArrow(_verify(threshold), shape))
-        # what the earlier rounds joined stays joined: an edge to the class it had, and one to the least here
-        edges = found.selectExpr("gid AS a", "least AS b").union(found.selectExpr("gid AS a", "root AS b"))
-        if turn == 0:
+        home = F.array_min(F.transform("prefix", lambda t: F.xxhash64(t, F.lit(turn))))  # noqa: B023
+        own = _rooted(work, classes).withColumn("home", home)
+        many = own.groupBy("home").agg(F.count("*").alias("k"), F.sum(F.length("members")).alias("bytes"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+        many = many.select("home", F.ceil(F.greatest(F.col("k") / block, F.col("bytes") / BLOCK_BYTES)).alias("blocks"))
+        # one key for a cell, so that Spark doesn't take the join's partitioning by home for that of cells
+        cell = F.xxhash64("home", F.expr(f"pmod(xxhash64(gid, {turn}), blocks)"))
+        dealt = own.join(many, "home").select(cell.alias("cell"), "gid", "n", "grp", "root", "prefix", "places", "members")
+        found = stored(dealt.groupBy("cell").applyInArrow(_verify(threshold), "gid long, least long, root long"))
+        if classes is None:
             classes = found.selectExpr("gid AS key", "least AS root")
-            work = work.where("blocks > 1").drop("root")
-            if not work.limit(1).count():
-                break
-        else:
-            classes = components(edges.union(classes.selectExpr("key AS a", "root AS b"))).selectExpr("node AS key", "root")
-        classes = stored(classes)
-        work = work.drop("root").join(classes.withColumnRenamed("key", "gid"), "gid", "left").withColumn("root", F.coalesce("root", "gid"))
-    else:
-        some = work.select("gid", "n", "root", F.explode("prefix").alias("token"), "family")
-        pairs = some.alias("p").join(some.alias("q"), F.expr(f"p.token = q.token AND p.gid < q.gid AND p.root <> q.root AND {threshold} * greatest(p.n, q.n) <= 100 * least(p.n, q.n)"))
-        pairs = pairs.selectExpr("p.gid AS a", "q.gid AS b").distinct()
-        sized = work.select("gid", "members")
-        rest = pairs.join(sized.selectExpr("gid AS a", "members AS x"), "a").join(sized.selectExpr("gid AS b", "members AS y"), "b").mapInArrow(_pairs_linked(threshold), "a long, b long")
-        classes = stored(components(rest.union(classes.selectExpr("key AS a", "root AS b"))).selectExpr("node AS key", "root"))
+        else:  # what the earlier rounds joined stays joined: an edge to the class it had, and one to the least here
+            edges = found.selectExpr("root AS a", "least AS b").where("a <> b")
+            classes = _joined(classes, edges)
+    rows = _rooted(work, classes).select("grp", "n", "root", F.explode(F.arrays_zip(F.col("prefix").alias("token"), F.col("places").alias("place"))).alias("at"))
+    rows = rows.select("grp", "n", "root", "at.token", "at.place")
+    open_ = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("k")).where("lo <> hi").select("token", F.ceil(F.col("k") / block).alias("blocks"))
+    rows = stored(rows.join(open_, "token").distinct())
+    # cells of two blocks of a shingle's groups, so no task pairs more than those
+    side = F.expr("pmod(xxhash64(grp, n, root), blocks)")
+    rows = rows.withColumn("side", side).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumn("cell", F.xxhash64("token", F.least("side", "with"), F.greatest("side", "with"))).withColumn("group", F.struct("grp", "n", "root"))
+    need = F.ceil(F.lit(threshold) * (F.col("p.n") + F.col("q.n")) / (100 + threshold))
+    may = (F.col("p.cell") == F.col("q.cell")) & (F.col("p.token") == F.col("q.token")) & (F.col("p.group") < F.col("q.group")) & (F.col("p.root") != F.col("q.root")) & ((F.col("p.side") != F.col("q.side")) | (F.col("p.side") == F.col("p.with")) & (F.col("q.side") == F.col("q.with")))
+    may &= (threshold * F.greatest("p.n", "q.n") <= 100 * F.least("p.n", "q.n")) & (F.least(F.col("p.n") - F.col("p.place"), F.col("q.n") - F.col("q.place")) >= need)
+    pairs = rows.alias("p").join(rows.alias("q"), may).select(F.col("p.group").alias("a"), F.col("q.group").alias("b")).distinct()
+    members = _rooted(work, classes).select(F.struct("grp", "n", "root").alias("group"), "gid", "members")
+    pairs = stored(pairs)
+    if pairs.limit(1).count():
+        links = pairs.join(members.select(F.col("group").alias("a"), F.col("group.root").alias("ra"), F.col("members").alias("x")), "a")
+        links = links.join(members.select(F.col("group").alias("b"), F.col("group.root").alias("rb"), F.col("members").alias("y")), "b")
+        links = links.select(F.col("ra").alias("a"), F.col("rb").alias("b"), "x", "y").mapInArrow(_pairs_linked(threshold), "a long, b long").distinct()
+        classes = _joined(classes, links)
     return ids, classes
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, threshold: int = 80, block: int = 4096, rounds: int = 3) -> DataFrame:
+def _rooted(sets: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """sets with root, the class that each is in so far: its own gid if none."""
+    if classes is None:
+        return sets.withColumn("root", F.col("gid"))
+    return sets.join(classes.withColumnRenamed("key", "gid"), "gid", "left").withColumn("root", F.coalesce("root", "gid"))
+
+
+def _joined(classes: DataFrame, edges: DataFrame) -> DataFrame:
+    """classes (key, root) after edges between roots are followed too. Only roots meet, not the members of classes."""
+    tops = stored(components(edges).withColumnRenamed("root", "top"))
+    moved = classes.join(tops.withColumnRenamed("node", "root"), "root", "left").select("key", F.coalesce("top", "root").alias("root"))
+    # sets that no class had so far
+    fresh = tops.join(classes.select(F.col("key").alias("node")), "node", "left_anti").select(F.col("node").alias("key"), F.col("top").alias("root"))
+    return stored(moved.union(fresh))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, threshold: int = 80, block: int = 256, rounds: int = 2) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
 
     Words are lower-cased (A-Z). A text of fewer than n_words words is one shingle, the whole sequence.
     Null and empty texts, and those of white space, have no shingle and link with nothing. Equal texts, and
     rows that repeat, link. A null doc_id counts as no id: such a row keeps its class but can't name it.
-    An empty table gives an empty result; further columns are ignored.
+    Very long texts are read whole. Of equal ids the smallest names a class; there are no other ties. An empty table gives
+    an empty result; further columns are ignored.
     """
     ids, classes = set_classes(docs, id_col, text_col, n_words, threshold, block, rounds)
     ids = ids.select("doc_id", "key", "n")
@@ -391,15 +426,17 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """docs without near copies: of each class one row stays, of its smallest id. Where that id has several texts in the class, the one of least hash stays.
 
     Rows are told apart by id and text hash, so an id that repeats with texts of other classes keeps those. Rows
-    without an id stay; texts without a shingle stay once for each id.
+    without an id stay; texts without a shingle (null, empty, white) stay once for each id. An empty table gives an
+    empty result. Columns may have any names.
     """
     ids, classes = set_classes(docs, id_col, text_col, **how)
     ids = ids.where("n > 0 AND doc_id IS NOT NULL").select("key", F.struct("doc_id", "row").alias("one"))
     sets = ids.groupBy("key").agg(F.min("one").alias("least")).join(classes.dropDuplicates(["key"]), "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = sets.groupBy("root").agg(F.min("least").alias("stays"))
     named = sets.select("key", "root").join(least, "root").select(F.col("key").alias("k"), "stays")
-    spare = ids.join(named, F.col("key") == F.col("k")).where("one <> stays").select(F.col("one.doc_id").alias("__spare"), F.col("one.row").alias("__spare_row")).distinct()
-    rows = docs.withColumn("__row", F.xxhash64(F.col(f"`{text_col}`")))
-    kept = rows.join(spare, (rows[f"`{id_col}`"] == F.col("__spare")) & (rows["__row"] == F.col("__spare_row")), "left_anti")
-    kept = kept.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col, "__row"]).union(kept.where(F.col(f"`{id_col}`").isNull()))
-    return kept.drop("__row")
+    spare = ids.join(named, F.col("key") == F.col("k")).where("one <> stays").select(F.col("one.doc_id").alias("spare"), F.col("one.row").alias("spare_row")).distinct()
+    held = F.struct(*(docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns))).alias("held")
+    rows = docs.select(held, docs[f"`{id_col}`"].cast("long").alias("one"), F.xxhash64(docs[f"`{text_col}`"]).alias("row"))
+    kept = rows.join(spare, (F.col("one") == F.col("spare")) & (F.col("row") == F.col("spare_row")), "left_anti")
+    kept = kept.where(F.col("one").isNotNull()).dropDuplicates(["one", "row"]).union(kept.where(F.col("one").isNull()))
+    return kept.select(*(F.col(f"held.c{i}").alias(c) for i, c in enumerate(docs.columns)))

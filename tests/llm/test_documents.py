@@ -62,7 +62,7 @@ def brute_components(rows, threshold=80):
     return sorted(((d, len(s), least.get(top(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets, strict=True))), key=repr)
 
 
-@pytest.mark.parametrize("block", [4096, 8])
+@pytest.mark.parametrize("block", [256, 8])
 def test_jaccard_brute_force(spark, block):
     rng = random.Random(block)
     docs = []
@@ -81,6 +81,18 @@ def test_jaccard_brute_force(spark, block):
     assert got == brute_components(rows)
 
 
+def test_jaccard_names_that_clash(spark):
+    df = spark.createDataFrame([(i, "a b c d e f g", i, i, i) for i in range(3)], "doc_id long, text string, __spare long, row long, one long")
+    assert [tuple(r) for r in jaccard_join.one_of_each(df).collect()] == [(0, "a b c d e f g", 0, 0, 0)]
+    assert {r.component_id for r in jaccard_join.near_duplicates(df).collect()} == {0}
+
+
+def test_set_identities():
+    sets = [np.arange(k, dtype=np.uint64) * np.uint64(77) for k in range(1, 51)]
+    a, b = jaccard_join._identity(sets), jaccard_join._identity(sets, -1)
+    assert len(set(a)) == len(set(b)) == 50 and not set(a) & set(b)
+
+
 def test_jaccard_odd(odd, none):
     got = sorted(map(tuple, jaccard_join.near_duplicates(odd).collect()), key=repr)
     assert got == brute_components([(r.doc_id, r.text) for r in odd.collect()])
