@@ -21,7 +21,7 @@ pair is the least number of distinct signatures in any band; c(e) and c(t, e) co
 Words end at white space and at identifiers, and have no length limit. Counting: every document of the corpus counts, and
 holds a term if one of its words is the term or if the term was cut out beside one of its mentions ("Name<mail@host>").
 Only (term, entity) pairs with the support needed are looked up, and documents are counted per batch by term before the
-shuffle. Terms are in Unicode lower case everywhere.
+shuffle of counts. Terms are in Unicode lower case everywhere.
 """
 
 from __future__ import annotations
@@ -212,9 +212,12 @@ def _mentions(window: int):
                 own = Words(text.as_py() or "")
                 if own.mentions:
                     every = sorted({t for kind, a, e in own.mentions for t, _, _ in own.around(a, e, window)})
-                    whole = _signatures(every)
+                    signed = {}  # a mention's entities mostly have the same context
                     for entity, terms in _contexts(own, window):
-                        for band, context in enumerate(whole if entity.startswith("name:") else _signatures(terms)):
+                        of = tuple(every if entity.startswith("name:") else terms)
+                        if of not in signed:
+                            signed[of] = _signatures(list(of))
+                        for band, context in enumerate(signed[of]):
                             rows |= {(entity, band, context, t) for t in (None, *terms)}
             cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.string()), strict=True)], ["entity", "band", "context", "term"])
@@ -244,8 +247,10 @@ def _document_counts():
 
 
 def _beside(text: str) -> np.ndarray:
-    """Hashes of the terms beside a text's mentions that aren't whole words of it, and of all others in a text with mentions."""
-    return np.array([term_hash(t) for t in {t[0] for t in Words(text).terms if t}], np.int64).view(np.uint64)
+    """Hashes of the terms that an identifier cuts off from a word."""
+    own, white = Words(text), " \t\n\x0b\x0c\r"
+    cut = {t[0] for t, a, e in zip(own.terms, own.starts, own.ends, strict=True) if t and (a > 0 and text[a - 1] not in white or e < len(text) and text[e] not in white)}
+    return np.array([term_hash(t) for t in cut], np.int64).view(np.uint64)
 
 
 _IS_EDGE = np.zeros(256, bool)
@@ -288,8 +293,7 @@ def disclosing_terms(texts: DataFrame, window: int = 8, support: int = 2, genera
     whole = by_pair.where("term IS NULL").selectExpr("entity", "contexts AS c_e")
     pairs = by_pair.where("term IS NOT NULL").selectExpr("entity", "term", "contexts AS c_te")
     pairs = stored(pairs.join(whole, "entity").mapInArrow(_with_hash, "entity string, term string, c_te long, c_e long, hash long"))
-    wanted = pairs.select("hash").distinct()
-    counts = texts.mapInArrow(_document_counts(), "hash long, docs long").join(wanted, "hash", "left_semi").groupBy("hash").agg(F.sum("docs").alias("c_t"))
+    counts = texts.mapInArrow(_document_counts(), "hash long, docs long").groupBy("hash").agg(F.sum("docs").alias("c_t"))
     share = F.log(F.lit(float(max(n, 1))) * F.col("c_te") / (F.greatest("c_t", "c_te") * F.col("c_e"))) / F.log(F.lit(float(max(n, 2))) / F.least(F.col("c_e"), F.lit(max(n, 2) - 1)))
     out = pairs.join(counts, "hash", "left").withColumn("share", share).where(F.col("share") >= general)
     return out.select("entity", "term", "share", F.when(F.col("share") >= disclosure, "remove").otherwise("generalise").alias("action"))
