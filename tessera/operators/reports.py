@@ -67,6 +67,17 @@ def error_rows(checked: DataFrame) -> DataFrame:
     return checked.where("error IS NOT NULL").select(F.col("slide_id").alias("Sample ID"), F.col("path").alias("Path"), F.col("error").alias("Error"), F.col("step").alias("Step in Pipeline"))
 
 
+def step_errors(slides: DataFrame, failed: DataFrame, step: str) -> DataFrame:
+    """Rows of the error report for failed (slide_id, error) of slides (slide_id, path) in one step; of several errors of a slide the first in order."""
+    one = failed.where("error IS NOT NULL").groupBy("slide_id").agg(F.min("error").alias("error"))
+    return slides.select("slide_id", "path").join(one, "slide_id").select(F.col("slide_id").alias("Sample ID"), F.col("path").alias("Path"), F.col("error").alias("Error"), F.lit(step).alias("Step in Pipeline"))
+
+
+def without_mask(slides: DataFrame, masks: DataFrame, opened_not: DataFrame) -> DataFrame:
+    """(slide_id, error) of slides that could be opened but have no mask."""
+    return slides.select("slide_id").join(masks.select("slide_id").distinct(), "slide_id", "left_anti").join(opened_not.select("slide_id"), "slide_id", "left_anti").withColumn("error", F.lit("no tissue mask"))
+
+
 def as_text(report: DataFrame) -> DataFrame:
     """report with every column as text and N/A for null, for CSV."""
     return report.select(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("N/A")).alias(c) for c in report.columns))

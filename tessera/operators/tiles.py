@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
@@ -139,9 +139,9 @@ def variance_histogram(tiles: DataFrame, low: float, high: float, bins: int) ->
     return tiles.where("laplacian_var IS NOT NULL").groupBy(F.width_bucket("laplacian_var", F.lit(float(low)), F.lit(float(high)), F.lit(bins)).alias("bin")).agg(F.count("*").alias("n"))
 
 
-def qc_samples(tiles: DataFrame, per_slide: int = 5, seed: int = 0) -> DataFrame:
-    """Up to so many tiles of each slide, blurry and sharp apart, drawn by a seeded hash of their origin."""
+def qc_samples(tiles: DataFrame, per_slide: int = 5, seed: int = 0, by: Column | None = None) -> DataFrame:
+    """Up to so many tiles of each slide, blurry and sharp apart, drawn by a seeded hash of their origin, or in order of `by`."""
     from pyspark.sql import Window
 
-    draw = Window.partitionBy("slide_id", "is_blurry").orderBy(F.xxhash64("x", "y", F.lit(seed)), "x", "y")
+    draw = Window.partitionBy("slide_id", "is_blurry").orderBy(F.xxhash64("x", "y", F.lit(seed)) if by is None else by, "x", "y")
     return tiles.withColumn("rank", F.row_number().over(draw)).where(F.col("rank") <= per_slide)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import colour, names, resolution
 from ..operators import grid, mask, reconstruct, reports, stain, tiles, tissue
+from ..sources import slides as reading
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -88,13 +89,13 @@ def _paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.expr(_PATH).alias("path"))
 
 
-@query(f"""SELECT DISTINCT split_part(split_part(path, '/', -1), '.', 1) AS patient_id, path, 'out/' || split_part(split_part(path, '/', -1), '.', 1) AS output
+@query(f"""SELECT DISTINCT split_part(split_part(path, '/', -1), '.', 1) AS patient_id, path, 'out/' || split_part(split_part(path, '/', -1), '.', 1) AS output, 'enc/' || split_part(split_part(path, '/', -1), '.', 1) || '.parquet' AS encoded
 FROM (SELECT {_PATH} AS path FROM pages) WHERE regexp_matches(path, '\\.({"|".join(names.EXTENSIONS)})$')""")
 def slide_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of slide files."""
-    from ..sources.manifest import manifest_of
+    from ..sources.manifest import manifest_of, with_encoded_path
 
-    return manifest_of(_paths(spark, sf_dir), "out").toDF("patient_id", "path", "output")
+    return with_encoded_path(manifest_of(_paths(spark, sf_dir), "out"), "enc").toDF("patient_id", "path", "output", "encoded")
 
 
 @query(f"SELECT page_id, regexp_matches({_PATH}, '\\.({'|'.join(names.EXTENSIONS)})$') AS is_slide, split_part(url, '/', -1) AS file, split_part(split_part(url, '/', -1), '.', 1) AS stem FROM pages")
@@ -136,11 +137,11 @@ def header_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("k", F.col("mpp_x").alias("mpp"), "magnification", "closest_mpp", "error", "step")
 
 
-@query("SELECT p_partkey, (floor((p_size * 2.0) / 15.0) * 256)::INT AS by_magnification, (256.0 * (p_size * 2.0) / 15.0 - 0.0)::DOUBLE AS ratio, floor(0.5 * 256 / (p_size / 40.0))::INT AS by_mpp FROM part")
+@query("SELECT p_partkey, (floor((p_size * 2.0) / 15.0) * 256)::INT AS by_magnification, trunc(256.0 * (p_size * 2.0) / 15.0)::INT AS ratio, floor(0.5 * 256 / (p_size / 40.0))::INT AS by_mpp FROM part")
 def tile_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tile sizes at level 0."""
     mag = F.col("p_size") * F.lit(2.0)
-    return table(spark, sf_dir, "part").select("p_partkey", resolution.size_by_magnification(mag, 256, 15).alias("by_magnification"), (F.lit(256.0) * mag / 15.0).alias("ratio"), resolution.size_by_mpp(F.col("p_size") / F.lit(40.0), 256, 0.5).alias("by_mpp"))
+    return table(spark, sf_dir, "part").select("p_partkey", resolution.size_by_magnification(mag, 256, 15).alias("by_magnification"), resolution.size_by_ratio(mag, 256, 15).alias("ratio"), resolution.size_by_mpp(F.col("p_size") / F.lit(40.0), 256, 0.5).alias("by_mpp"))
 
 
 @query("""SELECT c_custkey, CASE WHEN d = '' THEN NULL WHEN d::INT >= 11 THEN 0 ELSE 1 END AS tumour, format('{}_{}_{}_size_{}_mag_{}.png', c_name, c_custkey, c_nationkey, 256, 20) AS file
@@ -437,11 +438,8 @@ def augment_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""SELECT slide_id, x, y, rank FROM (SELECT *, row_number() OVER (PARTITION BY slide_id, is_valid ORDER BY (x * 7919 + y * 104729) % 1009, x, y)::INT AS rank FROM ({_RATED})) WHERE rank <= 5""")
 def qc_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to five tiles of each kind, by an integer hash."""
-    from pyspark.sql import Window
-
     t = tissue.with_validity(_supplier_tiles(spark, sf_dir), _mask(spark, sf_dir), 0.5)
-    w = Window.partitionBy("slide_id", "is_valid").orderBy((F.col("x") * 7919 + F.col("y") * 104729) % 1009, "x", "y")
-    return t.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("slide_id", "x", "y", "rank")
+    return tiles.qc_samples(t.withColumn("is_blurry", ~F.col("is_valid")), 5, by=(F.col("x") * 7919 + F.col("y") * 104729) % 1009).select("slide_id", "x", "y", "rank")
 
 
 # ---- reconstruction and reports
@@ -492,11 +490,80 @@ def encoding_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.with_encoding(s, e).select("sample_id", *(F.round(c, 2).alias(c) for c in ("encoding_cpu_time", "encoding_user_time")))
 
 
-@query("SELECT user_id, value, props FROM events WHERE event_type = 'error' UNION SELECT user_id, value, props FROM events WHERE event_type = 'error'")
+@query("SELECT DISTINCT user_id, event_type, props FROM events WHERE event_type = 'error' AND event_id % 3 <> 0 OR event_type IN ('error', 'purchase') AND event_id % 2 = 0")
 def error_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error rows, each once."""
-    e = table(spark, sf_dir, "events").where("event_type = 'error'").select("user_id", "value", "props")
-    return reports.errors_merged(e, e)
+    """The error rows of two runs that overlap, each once."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_type", "props", "event_id")
+    old, new = e.where("event_type = 'error' AND event_id % 3 <> 0"), e.where("event_type IN ('error', 'purchase') AND event_id % 2 = 0")
+    return reports.errors_merged(old.drop("event_id"), new.drop("event_id"))
+
+
+@query("""SELECT s_suppkey::VARCHAR AS sample_id, 's/' || s_suppkey AS path, CASE WHEN s_suppkey % 5 = 0 THEN 'Slide Opening' ELSE 'Tissue Mask' END AS step FROM supplier WHERE s_suppkey % 5 IN (0, 1)""")
+def step_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error rows of slides that can't be opened (a raster cut short or of another kind), and of slides without a mask."""
+    good, cut, other = (b"P6\n2 2\n255\n" + bytes(12)), b"P6\n2 2\n255\n" + bytes(5), b"II*\0"
+    k = F.col("s_suppkey")
+    content = F.when(k % 10 == 0, F.lit(cut)).when(k % 5 == 0, F.lit(other)).otherwise(F.lit(good))
+    s = table(spark, sf_dir, "supplier").select(k.cast("string").alias("slide_id"), F.concat(F.lit("s/"), k).alias("path"), F.lit(2).alias("width"), F.lit(2).alias("height"), content.alias("content"), k)
+    broken = reading.unreadable(s, "ppm")
+    masks = s.where("s_suppkey % 5 > 1").select("slide_id")
+    out = reports.step_errors(s, broken, "Slide Opening").unionByName(reports.step_errors(s, reports.without_mask(s, masks, broken), "Tissue Mask"))
+    return out.select(F.col("Sample ID").alias("sample_id"), F.col("Path").alias("path"), F.col("Step in Pipeline").alias("step"))
+
+
+# ---- synthetic slides: pixels by the same integer arithmetic in SQL
+
+_SLIDE_W, _SLIDE_H = 96, 72
+_KEY = "list_sum(list_transform(range(length(slide_id)), lambda i: ord(slide_id[i + 1]) * (i + 1)))"
+
+
+def _synthetic_sql(points: str) -> str:
+    """(.., r, g, b) of the synthetic slides at points (slide_id, .., px, py)."""
+    noise = "(px * 7919 + py * 104729 + key * 31) % 23"
+    inside = f"floor((2 * px - {_SLIDE_W}) * 10 / {_SLIDE_W}::DOUBLE) ** 2 + floor((2 * py - {_SLIDE_H}) * 10 / {_SLIDE_H}::DOUBLE) ** 2 < 49"
+    stroke = f"key % 3 = 0 AND abs(py * 4 - {_SLIDE_H}) < {max(2, _SLIDE_H // 25)}"
+    off = f"px < 0 OR py < 0 OR px >= {_SLIDE_W} OR py >= {_SLIDE_H}"
+    value = lambda pen, tissue_: f"(CASE WHEN {off} THEN 255 WHEN {stroke} THEN {pen} WHEN {inside} THEN {tissue_} ELSE 238 - {noise} % 5 END)"
+    return f"(SELECT *, {value(40, f'190 - 3 * ({noise})')} AS r, {value(60, f'90 + {noise}')} AS g, {value(200, f'160 - 2 * ({noise})')} AS b FROM (SELECT *, {_KEY} AS key FROM {points}))"
+
+
+def _synthetic_slides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("slide_id"), F.lit(_SLIDE_W).alias("width"), F.lit(_SLIDE_H).alias("height"), F.lit(4).alias("scale"))
+
+
+@query(f"SELECT slide_id, x, y, r::SMALLINT AS r, g::SMALLINT AS g, b::SMALLINT AS b FROM {_synthetic_sql(f'(SELECT s_suppkey::VARCHAR AS slide_id, x::INT AS x, y::INT AS y, x * 4 AS px, y * 4 AS py FROM supplier, (SELECT unnest(range({_SLIDE_W // 4})) AS x), (SELECT unnest(range({_SLIDE_H // 4})) AS y))')}")
+def thumbnail_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thumbnails through a reader."""
+    return reading.thumbnails(_synthetic_slides(spark, sf_dir))
+
+
+_ORIGINS = f"(SELECT s_suppkey::VARCHAR AS slide_id, x, y FROM supplier, (SELECT unnest(range(0, {_SLIDE_W}, 16)) AS x), (SELECT unnest(range(0, {_SLIDE_H}, 16)) AS y))"
+
+
+@query(f"SELECT slide_id, x::INT AS x, y::INT AS y, sum(r)::BIGINT AS r, sum(g)::BIGINT AS g, sum(b)::BIGINT AS b, sum(r * (1 + (px - x) + 16 * (py - y)))::BIGINT AS weighted FROM {_synthetic_sql(f'(SELECT *, x + dx AS px, y + dy AS py FROM {_ORIGINS}, (SELECT unnest(range(16)) AS dx), (SELECT unnest(range(16)) AS dy))')} GROUP BY ALL")
+def region_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions at level 0, also over the edge, read by slide in blocks of tiles; sums of their bytes, one weighted by place."""
+    s = _synthetic_slides(spark, sf_dir).drop("scale")
+    at = s.select("slide_id", F.lit(16).alias("size"), F.explode(F.sequence(F.lit(0), F.lit(_SLIDE_W - 1), F.lit(16))).alias("x"), F.lit(0).alias("y0")).select("slide_id", "size", "x", F.explode(F.sequence(F.lit(0), F.lit(_SLIDE_H - 1), F.lit(16))).alias("y"))
+    t = reading.read_regions(reading.in_blocks(at, s))
+    value = F.conv(F.hex(F.expr("substring(tile, i + 1, 1)")), 16, 10).cast("long")
+    cells = t.select("slide_id", "x", "y", "tile", F.explode(F.sequence(F.lit(0), F.lit(16 * 16 * 3 - 1))).alias("i")).select("slide_id", "x", "y", "i", value.alias("v"))
+    channel = lambda k: F.sum(F.when(F.col("i") % 3 == k, F.col("v"))).alias("rgb"[k])
+    return cells.groupBy("slide_id", "x", "y").agg(*(channel(k) for k in range(3)), F.sum(F.when(F.col("i") % 3 == 0, F.col("v") * (1 + F.floor(F.col("i") / 3)))).alias("weighted"))
+
+
+@query(f"SELECT slide_id, x, y, floor((4899 * r + 9617 * g + 1868 * b + 8192) / 16384)::INT AS gray_byte, round((0.299::DOUBLE * r + 0.587::DOUBLE * g + 0.114::DOUBLE * b) / 255, 9) AS gray_float, round((0.2125::DOUBLE * r + 0.7154::DOUBLE * g + 0.0721::DOUBLE * b) / 255, 9) AS gray_display FROM {PIXELS_SQL}")
+def gray_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three luminances."""
+    rgb = F.col("r"), F.col("g"), F.col("b")
+    return pixels(spark, sf_dir).select("slide_id", "x", "y", F.round(colour.gray(*rgb) * 255).cast("int").alias("gray_byte"), F.round(colour.gray(*rgb, "float"), 9).alias("gray_float"), F.round(colour.gray(*rgb, "display"), 9).alias("gray_display"))
+
+
+@query(f"SELECT slide_id, x, y, s, round(s / 255.0::DOUBLE - greatest(r, g, b) / 255.0::DOUBLE, 9) AS s_less_v FROM (SELECT *, CASE WHEN greatest(r, g, b) = 0 THEN 0 ELSE floor((greatest(r, g, b) - least(r, g, b)) * 255.0::DOUBLE / greatest(r, g, b) + 0.5)::INT END AS s FROM {PIXELS_SQL.replace(', s,', ', s AS key,')})")
+def saturation_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saturation, and what folds are told by."""
+    p = pixels(spark, sf_dir).withColumn("s", colour.saturation(F.col("r"), F.col("g"), F.col("b")))
+    return p.select("slide_id", "x", "y", "s", F.round(F.col("s") / F.lit(255.0) - F.greatest("r", "g", "b") / F.lit(255.0), 9).alias("s_less_v"))
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) < 10)")

@@ -16,9 +16,9 @@ from ..operators import reports
 from ..session import ship
 
 
-def write_tiles(tiles: DataFrame, path: str) -> None:
-    """Tiles by slide. A slide that is written again replaces its own partition only."""
-    tiles.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slide_id").parquet(path)
+def write_tiles(tiles: DataFrame, path: str, *by: str) -> None:
+    """Tiles by slide (and first by other columns). A slide that is written again replaces its own partition only."""
+    tiles.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, "slide_id").parquet(path)
 
 
 def write_features(features: DataFrame, path: str) -> None:

@@ -144,7 +144,7 @@ def read_regions(blocks: DataFrame, reader: str = "synthetic", side: int | None
 
 
 def thumbnails(slides: DataFrame, reader: str = "synthetic") -> DataFrame:
-    """PIXELS of slides (slide_id, width, height, scale, and content where needed): every scale-th pixel of each. Slides that can't be read have none."""
+    """PIXELS of slides (slide_id, width, height, scale, and content where needed): every scale-th pixel of each. Slides that can't be read have none; `unreadable` names them."""
     kind = _READERS[reader]
     ship(slides.sparkSession)
     has_content = "content" in slides.columns
@@ -172,6 +172,27 @@ def thumbnails(slides: DataFrame, reader: str = "synthetic") -> DataFrame:
     return slides.repartition(slides.sparkSession.sparkContext.defaultParallelism, "slide_id").mapInArrow(run, schema.PIXELS)
 
 
+def unreadable(slides: DataFrame, reader: str = "synthetic") -> DataFrame:
+    """(slide_id, error) of the slides that the reader can't open, or whose corner it can't read."""
+    kind = _READERS[reader]
+    ship(slides.sparkSession)
+    has_content = "content" in slides.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            failed = []
+            for i, (one, w, h) in enumerate(zip(*(b.column(c).to_pylist() for c in ("slide_id", "width", "height")), strict=True)):
+                try:
+                    slide = kind(one, w, h, b.column("content")[i].as_py() if has_content else None)
+                    slide.size()
+                    slide.region(0, 0, 1, 1)
+                except Exception as e:  # its row is the answer
+                    failed.append((one, f"{type(e).__name__}: {e}"[:500]))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in failed], pa.string()) for k in range(2)], ["slide_id", "error"])
+
+    return slides.select("slide_id", "width", "height", *(["content"] if has_content else [])).mapInArrow(run, "slide_id string, error string")
+
+
 class SyntheticSlides(DataSource):
     """spark.read.format("tessera_slides"): `slides` synthetic slides of `width` x `height`, for tests and benchmarks."""
 

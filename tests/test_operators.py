@@ -199,6 +199,25 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert spark.read.parquet(again["manifest"]).count() == rest.count() and "tiles" not in again
 
 
+def test_resumed_run_keeps_what_was_reported(spark, tmp_path):
+    """Rows of earlier runs stay; a broken slide and one without a mask have error rows; times are a slide's share."""
+    image = slides.Synthetic("q", 256, 192).region(0, 0, 256, 192)
+    good = b"P6\n256 192\n255\n" + image.tobytes()
+    row = lambda i, content: (i, f"{i}.ppm", None, "20", "0.5", None, 256, 192, [1.0, 16.0], content)
+    table = spark.createDataFrame([row("a", good), row("b", good), row("broken", good[:300]), row("c", good)], schema.SLIDES + ", content binary")
+    config = RunConfig(output_path=str(tmp_path), desired_size=32, desired_magnification=20, tissue_threshold=0.5, output_format=None, encode=True, reader="ppm")
+    first = pipeline.execute(table.where("slide_id IN ('a', 'broken')"), config)
+    assert [tuple(r) for r in spark.read.parquet(first["errors"]).select("Sample ID", "Step in Pipeline").collect()] == [("broken", "Slide Opening")]
+    before = {r.sample_id: r for r in spark.read.parquet(first["summary"]).collect()}
+    assert before["a"].status == "Processed" and before["broken"].status == "Error" and before["a"].encoding_user_time > 0
+    pipeline.execute(table, config, finished=spark.createDataFrame([("a",)], "slide_id string"))
+    after = {r.sample_id: r for r in spark.read.parquet(first["summary"]).collect()}
+    assert set(after) == {"a", "b", "c", "broken"} and after["a"] == before["a"] and after["c"].status == "Processed"
+    assert spark.read.parquet(first["errors"]).count() == 1
+    assert {r.slide_id for r in spark.read.parquet(first["grid"]).select("slide_id").distinct().collect()} >= {"a", "b", "c"}
+    assert {r[0] for r in spark.read.parquet(first["manifest"]).select("Patient ID").collect()} == {"a", "b", "c", "broken"}
+
+
 def test_command_line_over_rasters(spark, tmp_path):
     from tessera.__main__ import main
 
