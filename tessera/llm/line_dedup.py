@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .shared import partitions, picked, stored, trimmed
+from .shared import partitions, picked, stored, trimmed, without
 
 _STRIP = " \t\n\x0b\x0c\r"
 _LOWER = {i: i + 32 for i in range(65, 91)}
@@ -42,13 +42,14 @@ def _lines(least: int):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, keys = [], []
-            for one, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
+            ids, keys, at = [], [], []
+            for one, text, place in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("at").to_pylist(), strict=True):
                 own = {_hashed(x, least) for x in (text.as_py() or "").split("\n")}
                 own.discard(None)
                 keys += own
                 ids += [one] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], ["line", "doc_id"])
+                at += [place] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(at, pa.int64())], ["line", "doc_id", "at"])
 
     return run
 
@@ -97,7 +98,7 @@ def _drop(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, n_lines, n_dropped = [], [], []
-            for text, drop in zip(b.column("__text"), b.column("__drop"), strict=True):
+            for text, drop in zip(b.column("text"), b.column("drop"), strict=True):
                 lines = (text.as_py() or "").split("\n")
                 n_lines.append(len(lines))
                 if drop.is_valid:
@@ -105,8 +106,7 @@ def _drop(least: int):
                     lines = [x for x in lines if _hashed(x, least) not in gone]
                 n_dropped.append(n_lines[-1] - len(lines))
                 texts.append("\n".join(lines))
-            rest = [c for c in b.schema.names if c not in ("__text", "__drop")]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], [*rest, "__text", "__n_lines", "__n_dropped"])
+            yield pa.RecordBatch.from_arrays([b.column("held"), pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], ["held", "text", "n_lines", "n_dropped"])
 
     return run
 
@@ -117,24 +117,32 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A line's key is the line without [\\x20\\x09-\\x0D] at its ends and with A-Z in lower case. Lines whose key has at
     least least_chars code points and is found in at least least_docs documents go, except in the document of the
     largest id that holds it (there, all of them stay). A null or empty text is one empty line and becomes the empty
-    text. Rows with the same id are one document that holds the lines of all; rows with a null id share one
-    document of no id, which is smaller than any other, and loses lines only where a document with an id has them too.
-    An empty table gives an empty result. Other columns pass through, but not names that start with two underscores.
+    text; very long texts and lines are read whole. Rows with the same id are one document that holds the lines of all;
+    rows with a null id share one document of no id, which is smaller than any other, and loses lines only where a
+    document with an id has them too (each such row meets its own lines only, however many rows there are). An empty
+    table gives an empty result. Other columns pass through, whatever their names, but those called as the two new ones.
     """
-    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if not c.startswith("__")))
-    plain = picked(docs, doc_id=id_col, text=text_col)
-    lines = plain.mapInArrow(_lines(least_chars), "line binary, doc_id long")
+    docs = without(docs, "__n_lines", "__n_dropped")
     none = F.lit(-(1 << 63))
-    lines = lines.withColumn("doc_id", F.coalesce("doc_id", none)).distinct()
+    keyed = lambda one, text: F.when(one.isNull(), F.xxhash64(text)).otherwise(0).alias("at")
+    plain = picked(docs, doc_id=id_col, text=text_col)
+    plain = plain.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("at", keyed(F.col("doc_id"), F.col("text")))
+    lines = plain.mapInArrow(_lines(least_chars), "line binary, doc_id long, at long").distinct()
+    lines = lines.withColumn("doc_id", F.coalesce("doc_id", none))
     lines = stored(lines.withColumn("batch", F.expr(f"pmod(hash(doc_id), {batches})")), "batch")
     runs = LineRuns(fanout)
     for k in range(batches):
-        runs.add(lines.where(F.col("batch") == k).select("line", "doc_id"))
+        own = lines.where(F.col("batch") == k)
+        runs.add(own.where(F.col("doc_id") != none).select("line", "doc_id").union(own.where(F.col("doc_id") == none).select("line", "doc_id").distinct()))
     common = stored(runs.common(least_docs))
-    drop = lines.select("line", F.col("doc_id").alias("__id")).join(common.select("line", "last"), "line").where("__id <> last")
-    drop = drop.groupBy("__id").agg(F.collect_set("line").alias("__drop"))
-    full = docs.withColumnRenamed(text_col, "__text").withColumn("__text", F.col("__text").cast("string")).withColumn("__id", F.coalesce(F.col(f"`{id_col}`").cast("long"), none)).join(drop, "__id", "left").drop("__id")
-    rest = [f for f in full.schema.fields if f.name not in ("__text", "__drop")]
-    shape = StructType([*rest, StructField("__text", StringType()), StructField("__n_lines", LongType()), StructField("__n_dropped", LongType())])
+    drop = lines.join(common.select("line", "last"), "line").where("doc_id <> last")
+    drop = drop.groupBy(F.col("doc_id").alias("of"), F.col("at").alias("of_at")).agg(F.collect_set("line").alias("drop"))
+    others = [c for c in docs.columns if c != text_col]
+    one, text = docs[f"`{id_col}`"].cast("long"), docs[f"`{text_col}`"].cast("string")
+    held = F.struct(F.lit(0).alias("c"), *(docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(others))).alias("held")
+    full = docs.select(held, text.alias("text"), F.coalesce(one, none).alias("id"), keyed(one, text))
+    full = full.join(drop, (F.col("id") == F.col("of")) & (F.col("at") == F.col("of_at")), "left").select("held", "text", "drop")
+    shape = StructType([full.schema["held"], StructField("text", StringType()), StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
     out = full.mapInArrow(_drop(least_chars), shape)
-    return out.select(*(F.col("__text").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns), "__n_lines", "__n_dropped")
+    place = {c: f"held.c{i}" for i, c in enumerate(others)}
+    return out.select(*(F.col(place.get(c, "text")).alias(c) for c in docs.columns), F.col("n_lines").alias("__n_lines"), F.col("n_dropped").alias("__n_dropped"))

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import unused, without
+
 # Frequent words of the four languages, in lower case.
 STOP_WORDS = {
     "en": "the be to of and that have with is in it for on as was are this by from at",
@@ -95,24 +97,27 @@ def repeated_positions(w: Column, n: int = 3) -> Column:
 def base_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words under the struct `__measures`.
 
-    A null text counts as an empty one: every measure is 0.
+    A null text counts as an empty one: every measure is 0. Very long texts are read whole. A column of docs that is
+    called `__measures` itself is replaced; others may have any names.
     """
+    docs = without(docs, "__measures")
     stops = sorted({w for line in STOP_WORDS.values() for w in line.split()})
     of = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     pieces = F.split(of, _SPLIT)
     lines = F.filter(F.split(of, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    split = docs.select("*", of.alias("__text"), F.filter(pieces, lambda x: x != "").alias("__words"), lines.alias("__lines"))
-    w, t = F.col("__words"), F.col("__text")
+    names = [unused(docs, n) for n in ("__text", "__words", "__lines")]
+    split = docs.select("*", of.alias(names[0]), F.filter(pieces, lambda x: x != "").alias(names[1]), lines.alias(names[2]))
+    w, t = F.col(names[1]), F.col(names[0])
     measures = F.struct(
         F.size(w).cast("long").alias("n_words"),
         F.length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
+        (F.size(names[2]) - F.size(F.array_distinct(names[2]))).cast("long").alias("n_dup_lines"),
         repeated_positions(w).alias("n_repeat_words"),
-        F.size("__lines").cast("long").alias("n_lines"),
+        F.size(names[2]).cast("long").alias("n_lines"),
         F.size(F.filter(w, lambda x: F.lower(x).isin(stops))).cast("long").alias("n_stop_words"),
     )
-    return split.withColumn("__measures", measures).drop("__text", "__words", "__lines")
+    return split.withColumn("__measures", measures).drop(*names)
 
 
 def compiled(rules: tuple[Rule, ...] = RULES) -> Column:
@@ -135,14 +140,16 @@ def compiled(rules: tuple[Rule, ...] = RULES) -> Column:
 def judged(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """docs with `__measures`, `__base_failed` (under 50 words, or over half of them in repeated 3-word windows) and `__kept`.
 
-    Null and empty texts have no words, so they fail. Repeated rows are judged alike; an empty table stays empty.
+    Null and empty texts have no words, so they fail; very long ones are read whole. Repeated rows are judged alike, and
+    a measure at a threshold passes; an empty table stays empty. Columns of docs with these three names are replaced.
     """
-    out = base_measures(docs, text_col)
+    out = base_measures(without(docs, "__base_failed", "__kept"), text_col)
     m = lambda c: F.col(f"__measures.{c}")
     out = out.withColumn("__base_failed", (m("n_words") < 50) | (100 * m("n_repeat_words") > 50 * m("n_words")))
     return out.withColumn("__kept", ~F.col("__base_failed") & compiled(rules))
 
 
 def kept(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of docs that pass."""
-    return judged(docs, text_col, rules).where("__kept").drop("__measures", "__base_failed", "__kept")
+    """The rows of docs that pass, with all their columns, whatever their names."""
+    held = docs.select(F.struct(*(docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns))).alias("held"), docs[f"`{text_col}`"].alias("text"))
+    return judged(held, "text", rules).where("__kept").select(*(F.col(f"held.c{i}").alias(c) for i, c in enumerate(docs.columns)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship, stored
 
-__all__ = ["components", "partitions", "picked", "ship", "stored", "trimmed"]
+__all__ = ["components", "partitions", "picked", "ship", "stored", "trimmed", "unused", "without"]
 
 
 def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -35,6 +35,20 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def unused(table: DataFrame, name: str) -> str:
+    """name, or with underscores before it if the table has such a column."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without(table: DataFrame, *names: str) -> DataFrame:
+    """table without columns of these names, in any case."""
+    gone = {n.lower() for n in names}
+    return table.select(*(table[f"`{c}`"] for c in table.columns if c.lower() not in gone))
+
+
 def picked(df: DataFrame, **columns: str) -> DataFrame:
     """Only the columns an operator reads, under its own names, whatever else the table holds."""
     ship(df.sparkSession)

@@ -52,9 +52,15 @@ def _lengths(path: str | None, name: str):
     return run
 
 
+#: Totals of a row a group are broadcast up to so many groups, a few megabytes.
+FEW_GROUPS = 50_000
+
+
 def length_histogram(docs: DataFrame, text_col: str = "text", group_col: str | None = "source", path: str | None = None, name: str = VOCABULARY) -> DataFrame:
     """(grp, n_tokens, docs): how many documents of each group have each encoded length.
 
+    Null and empty texts have length 0; very long ones are encoded whole. A null group is a group. Repeated rows count as
+    often as they occur; there are no ties. An empty table gives an empty result. Other columns are ignored, whatever their names.
     path is the vocabulary's file, the same on all machines; without one, the file `name` of the installed public set.
     """
     rows = picked(docs, text=text_col, **({"grp": group_col} if group_col else {}))
@@ -76,7 +82,8 @@ def context_table(histogram: DataFrame) -> DataFrame:
     # suffix sums from the longest length; a frame over all of a group isn't needed, its ends are the sums at length least
     out = one.union(every).select("*", F.sum("docs").over(down).alias("docs_from"), F.sum(tokens).over(down).alias("tokens_from"))
     whole = out.groupBy("is_total", "grp").agg(F.max("docs_from").alias("docs_total"), F.max("tokens_from").alias("tokens_total")).withColumnsRenamed({"is_total": "t", "grp": "g"})
-    out = out.join(F.broadcast(whole), (F.col("is_total") == F.col("t")) & F.col("grp").eqNullSafe(F.col("g")))
+    whole = F.broadcast(whole) if one.select("grp").distinct().count() <= FEW_GROUPS else whole  # groups may be many, as domains are
+    out = out.join(whole, (F.col("is_total") == F.col("t")) & F.col("grp").eqNullSafe(F.col("g")))
     over, within = F.col("docs_from") - F.col("docs"), F.col("tokens_total") - F.col("tokens_from") + tokens
     return out.select("grp", "is_total", "n_tokens", "docs", over.alias("docs_over"), (F.col("docs_total") - over).alias("docs_within"), "tokens_total", within.alias("tokens_within"), (within + over * F.col("n_tokens")).alias("tokens_truncated"), ((F.col("docs_total") - over) / F.col("docs_total")).alias("quantile"))
 
@@ -87,4 +94,5 @@ def quantile_length(table: DataFrame, q: float) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, **how) -> DataFrame:
+    """`context_table` of `length_histogram`; nulls, repeated rows and empty tables as there."""
     return context_table(stored(length_histogram(docs, **how)))

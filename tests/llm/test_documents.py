@@ -193,6 +193,22 @@ def test_lines(odd, none, fanout):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def test_lines_and_quality_with_names_that_clash(spark, data):
+    """Rows without an id meet their own lines only; columns may be called like an operator's own."""
+    line = "a line that many of the documents hold"
+    rows = [(i if i < 4 else None, f"{line}\nown line number {i} of this one", i, i, i, i, i) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __text int, __id int, held int, at int, __kept int")
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == [*df.columns, "__n_lines", "__n_dropped"]
+    got = sorted(((r.doc_id, r["__n_lines"], r["__n_dropped"], r.text) for r in out.collect()), key=repr)
+    assert got == brute_lines([r[:2] for r in rows]) and all(r["__text"] == r["__id"] == r.held == r.at for r in out.collect())
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    clash = docs.select("*", *(F.lit(i).alias(c) for i, c in enumerate(("__text", "__words", "__measures", "__kept"))))
+    good = quality_rules.kept(clash)
+    assert good.columns == clash.columns and good.where("__text = 0 and __measures = 2 and __kept = 3").count() == quality_rules.kept(docs).count() > 0
+    assert quality_rules.judged(clash).where("__kept").count() == good.count()
+
+
 def test_line_runs_hold_each_line_once(spark):
     runs = line_dedup.LineRuns(fanout=2)
     for k in range(5):
