@@ -39,9 +39,11 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one where the session names none, as in local tests."""
+    """The shared folder named by spark.checkpoint.dir. Where the session names none, a temporary one for a local master, as in tests; on a cluster, an error."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _SCRATCH:
             _SCRATCH.append(tempfile.mkdtemp(prefix="tessera-"))
             atexit.register(shutil.rmtree, _SCRATCH[0], ignore_errors=True)
