@@ -10,10 +10,12 @@ that remain are encoded one by one, each distinct atom about once a task: a task
 2. Fold: Spark's higher-order aggregate runs over each atom's edges. The state is a bit mask of the boundaries between
    symbols. For a model of merges (BPE) an edge applies if both its ends are boundaries with exactly one boundary
    between, which it removes; in order of score this gives the model's own merges, because a piece is made when its two
-   last parts meet and boundaries never come back. For a unigram model the fold is Viterbi's: best score to each end.
+   last parts meet and boundaries never come back. For a unigram model the fold is Viterbi's: best score to each end, with
+   the boundaries on the way there as the same mask; scores are summed in double precision within an atom.
 3. The masks go back to the slice's documents, in the same task. Nothing is shuffled.
 
-Texts of one atom of over 62 characters, or with several spaces in a row (whose pieces tie), are merged by a queue instead.
+Atoms of over 62 characters, whose boundaries don't fit a mask, and for merges those with several spaces in a row (whose
+pieces tie), are encoded one by one: by a queue of merges, or Viterbi's search.
 Characters outside the vocabulary become byte pieces where the model has them, else the unknown piece.
 """
 
@@ -93,6 +95,7 @@ class Pieces:
     byte_ids: np.ndarray
     unknown: int
     prefix: bool = True
+    merges: bool = True  # a model of merges, or else a unigram model
 
     def __post_init__(self) -> None:
         special = {int(i) for i in self.byte_ids if i >= 0} | {self.unknown}
@@ -117,7 +120,10 @@ class Pieces:
         for i in long:
             k = self.kind[[ord(c) for c in self.texts[i]]].astype(np.int64)
             self.joined[k[:-1] * self.kinds + k[1:]] = True
+        #: in a unigram model, the score of a character that is no piece
+        self.lowest = float(min((self.scores[i] for i in usable), default=0.0)) - 10.0
         self.raw = [p.encode() for p in self.texts]
+        self.raw[self.unknown] = " ⁇ ".encode()
         for value, i in enumerate(self.byte_ids):
             if i >= 0:
                 self.raw[i] = bytes([value])
@@ -186,6 +192,23 @@ class Pieces:
             a = ends[a]
         return out
 
+    def best(self, atom: str) -> list[int]:
+        """The pieces of an atom by Viterbi's search; of equal paths the one whose last piece is longest."""
+        n = len(atom)
+        score, origin = [0.0] + [float("-inf")] * n, [0] * (n + 1)
+        for a in range(n):
+            for z in range(a + 1, min(a + self.longest, n) + 1):
+                i = self.by_text.get(atom[a:z])
+                if i is None and z > a + 1:
+                    continue
+                total = score[a] + (self.lowest if i is None else float(self.scores[i]))
+                if total > score[z]:
+                    score[z], origin[z] = total, a
+        cuts = [n]
+        while cuts[-1]:
+            cuts.append(origin[cuts[-1]])
+        return [i for z, a in zip(cuts[-2::-1], cuts[:0:-1], strict=True) for i in self.symbol(atom[a:z])]
+
     def symbol(self, text: str) -> list[int]:
         i = self.by_text.get(text)
         if i is not None:
@@ -199,7 +222,7 @@ class Pieces:
 
 
 def load(path: str | None = None) -> Pieces:
-    """The vocabulary of a model file of merges without text normalisation; loaded once in each process."""
+    """The vocabulary of a model file, of merges or unigram, without text normalisation; loaded once in each process."""
     if path is None:
         import public_tokenizers
 
@@ -214,16 +237,18 @@ def load(path: str | None = None) -> Pieces:
         for i in range(n):
             if model.is_byte(i):
                 byte_ids[int(model.id_to_piece(i)[3:5], 16)] = i
-        prefix = True
+        trainer, spec = {}, {}  # a message in parts is one, the last value counts
         for number, value in _proto(model.serialized_model_proto()):
-            if number == 2 and dict(_proto(value)).get(3) != 2:
-                raise ValueError(f"{path} isn't a model of merges")
-            if number == 3:
-                spec = dict(_proto(value))
-                if spec.get(2) or spec.get(4, 1):
-                    raise ValueError(f"{path} normalises texts")
-                prefix = bool(spec.get(3, 1))
-        _MODELS[path] = Pieces(["" if special[i] else model.id_to_piece(i) for i in range(n)], np.array([model.get_score(i) for i in range(n)]), byte_ids, model.unk_id(), prefix)
+            if number == 1 and dict(_proto(value)).get(3) == 4:
+                raise ValueError(f"{path} has pieces defined by a user")
+            if number in (2, 3):
+                (trainer if number == 2 else spec).update(_proto(value))
+        kind, prefix = trainer.get(3, 1), bool(spec.get(3, 1))
+        if kind not in (1, 2):
+            raise ValueError(f"{path} is a model of neither merges nor unigrams")
+        if spec.get(2) or spec.get(4, 1):
+            raise ValueError(f"{path} normalises texts")
+        _MODELS[path] = Pieces(["" if special[i] else model.id_to_piece(i) for i in range(n)], np.array([model.get_score(i) for i in range(n)]), byte_ids, model.unk_id(), prefix, kind == 2)
     return _MODELS[path]
 
 
@@ -263,7 +288,7 @@ def cut(pieces: Pieces, texts: list[str]) -> _Slice:
     double[2:] = inner[1:] & inner[:-1]
     double = np.cumsum(double)
     runs = double[at + sizes] - double[at + np.minimum(1, sizes)] > 0
-    return _Slice(rows, which.reshape(-1), keys, own, at, sizes, (sizes > 1) & (sizes <= WIDEST) & ~runs)
+    return _Slice(rows, which.reshape(-1), keys, own, at, sizes, (sizes > 1) & (sizes <= WIDEST) & ~(runs & pieces.merges))
 
 
 def _held(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -296,14 +321,14 @@ class Memory:
                 self.begin = np.cumsum(self.count) - self.count
 
 
-def lattice(pieces: Pieces, s: _Slice, atoms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Edges of these atoms, grouped by atom, best score first and then from the left: number of each atom's edges, their ends and inner boundaries as masks, and the pieces."""
+def _spans(pieces: Pieces, s: _Slice, atoms: np.ndarray, single: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Atom, start, length and piece of each substring that is a piece; with single, of each character too (-1 where it is none)."""
     chars = s.chars[_ranges(s.starts[atoms], s.sizes[atoms])]
     owner = np.repeat(np.arange(len(atoms)), s.sizes[atoms])
     at = np.cumsum(s.sizes[atoms]) - s.sizes[atoms]
     place = np.arange(len(chars)) - at[owner]
     left = s.sizes[atoms][owner] - place
-    total, found = pieces.hashes(chars), []
+    total, found = pieces.hashes(chars), [(owner, place, np.ones(len(chars), np.int64), pieces.single[chars])] if single and len(chars) else []
     for n in range(2, pieces.longest + 1):
         p = np.flatnonzero(left >= n)
         if not len(p):
@@ -312,6 +337,20 @@ def lattice(pieces: Pieces, s: _Slice, atoms: np.ndarray) -> tuple[np.ndarray, n
         p, ids = p[ids >= 0], ids[ids >= 0]
         found.append((owner[p], place[p], np.full(len(p), n), ids))
     own, start, n, ids = (np.concatenate(x) if found else np.empty(0, np.int64) for x in (zip(*found, strict=True) if found else [()] * 4))
+    return own, start, n, ids
+
+
+def scored(pieces: Pieces, s: _Slice, atoms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Edges of these atoms for a unigram model, grouped by atom, from the left and shortest first: number of each atom's edges, their starts, ends, pieces and scores."""
+    own, start, n, ids = _spans(pieces, s, atoms, True)
+    order = np.lexsort((n, start, own))
+    own, start, n, ids = own[order], start[order], n[order], ids[order]
+    return np.bincount(own, minlength=len(atoms)), start, start + n, ids, np.where(ids < 0, pieces.lowest, pieces.scores[ids])
+
+
+def lattice(pieces: Pieces, s: _Slice, atoms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Edges of these atoms for merges, grouped by atom, best score first and then from the left: number of each atom's edges, their ends and inner boundaries as masks, and the pieces."""
+    own, start, n, ids = _spans(pieces, s, atoms, False)
     # one number to sort by: atom, rank, start (6 bits), length
     order = np.argsort(((own * np.int64(len(pieces.rank)) + pieces.rank[ids]) << 6 | start) * np.int64(pieces.longest + 1) + n)
     own, start, n, ids = own[order], start[order], n[order], ids[order]
@@ -332,24 +371,36 @@ def fold_merges(mask: Column, edges: Column) -> Column:
 
 
 def viterbi(length: Column, edges: Column) -> Column:
-    """For a unigram model: the best path over edges (start, end, id, score) in order of end, as an array of (score, from, id) for each end.
+    """For a unigram model: the best path over edges (start, end, id, score) in order of start or of end, as an array of (score, from, id, cuts) for each end.
 
-    The fold's state has an entry for each end reached; an edge improves the entry of its end. All positions must be
-    reachable, so an atom's edges include one for each character. Ties go to the edge met first.
+    The fold's state has an entry for each end reached; an edge improves the entry of its end. cuts has a bit for each
+    boundary on the path, for lengths up to 62. All positions must be reachable, so an atom's edges include one for each
+    character. Ties go to the edge met first.
     """
-    nothing = F.struct(F.lit(float("-inf")).alias("score"), F.lit(-1).alias("from"), F.lit(-1).alias("id"))
-    begin = F.transform(F.sequence(F.lit(0), length), lambda i: F.when(i == 0, F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("from"), F.lit(-1).alias("id"))).otherwise(nothing))
+
+    def entry(score: Column, origin: Column, piece: Column, cuts: Column) -> Column:
+        return F.struct(score.alias("score"), origin.cast("int").alias("from"), piece.cast("int").alias("id"), cuts.cast("long").alias("cuts"))
+
+    begin = F.transform(F.sequence(F.lit(0), length.cast("int")), lambda i: entry(F.when(i == 0, F.lit(0.0)).otherwise(F.lit(float("-inf"))), F.lit(-1), F.lit(-1), F.when(i == 0, F.lit(1)).otherwise(F.lit(0))))
 
     def step(state: Column, e: Column) -> Column:
-        score = F.get(state, e["start"])["score"] + e["score"]
+        before = F.get(state, e["start"])
+        score = before["score"] + e["score"]
         better = score > F.get(state, e["end"])["score"]
-        entry = F.struct(score.alias("score"), e["start"].alias("from"), e["id"].alias("id"))
-        return F.when(better, F.transform(state, lambda x, i: F.when(i == e["end"], entry).otherwise(x))).otherwise(state)
+        new = entry(score, e["start"], e["id"], before["cuts"].bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), e["end"])))
+        return F.when(better, F.transform(state, lambda x, i: F.when(i == e["end"], new).otherwise(x))).otherwise(state)
 
     return F.aggregate(edges, begin, step)
 
 
-_EDGES = pa.list_(pa.list_(pa.struct([("ends", pa.int64()), ("inner", pa.int64())])))
+def fold_best(mask: Column, edges: Column) -> Column:
+    """The boundaries on the best path; mask has one bit more than the atom has characters."""
+    return F.element_at(viterbi(F.bit_count(mask) - 1, edges), -1)["cuts"]
+
+
+#: An edge's columns for merges, and for a unigram model.
+_MERGE = pa.struct([("ends", pa.int64()), ("inner", pa.int64())])
+_SCORED = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("id", pa.int32()), ("score", pa.float64())])
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,27 +419,29 @@ def _open(path: str | None):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, memory = load(path), Memory()
+        kind = _MERGE if pieces.merges else _SCORED
+        nested = pa.list_(pa.list_(kind))
         for k, b in enumerate(_slices(batches)):
             s = cut(pieces, [t or "" for t in b.column("text").to_pylist()])
             new = memory.new(s)
             memory.add(s, new)
             atoms = new[s.by_fold[new]]
-            counts, ends, inner, _ = lattice(pieces, s, atoms)
+            counts, *columns = lattice(pieces, s, atoms)[:3] if pieces.merges else scored(pieces, s, atoms)
             masks, cuts = (np.int64(1) << (s.sizes[atoms] + 1)) - 1, np.concatenate([[0], np.cumsum(counts)])
             for a in range(0, len(masks), ATOMS):
                 z = min(a + ATOMS, len(masks))
-                edges = pa.StructArray.from_arrays([pa.array(ends[cuts[a] : cuts[z]]), pa.array(inner[cuts[a] : cuts[z]])], ["ends", "inner"])
+                edges = pa.StructArray.from_arrays([pa.array(c[cuts[a] : cuts[z]], f.type) for c, f in zip(columns, kind, strict=True)], fields=list(kind))
                 edges = pa.ListArray.from_arrays(pa.array((cuts[a : z + 1] - cuts[a]).astype(np.int32)), edges)
-                yield _row(k, [None], [None], pa.ListArray.from_arrays(pa.array([0, z - a], pa.int32()), pa.array(masks[a:z])), pa.ListArray.from_arrays(pa.array([0, z - a], pa.int32()), edges))
+                yield _row(k, [None], [None], pa.ListArray.from_arrays(pa.array([0, z - a], pa.int32()), pa.array(masks[a:z])), pa.ListArray.from_arrays(pa.array([0, z - a], pa.int32()), edges).cast(nested))
             n = b.num_rows
-            yield _row(k, b.column("doc_id"), b.column("text"), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, _EDGES))
+            yield _row(k, b.column("doc_id"), b.column("text"), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, nested))
 
     return run
 
 
 def _row(k: int, ids, texts, masks: pa.Array, edges: pa.Array) -> pa.RecordBatch:
     n = len(masks)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(n, k)), pa.array(ids, pa.int64()) if isinstance(ids, list) else ids, pa.array(texts, pa.string()) if isinstance(texts, list) else texts, masks, edges.cast(_EDGES)], ["slice", "doc_id", "text", "masks", "edges"])
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, k)), pa.array(ids, pa.int64()) if isinstance(ids, list) else ids, pa.array(texts, pa.string()) if isinstance(texts, list) else texts, masks, edges], ["slice", "doc_id", "text", "masks", "edges"])
 
 
 def encoded(pieces: Pieces, s: _Slice, new: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -423,7 +476,7 @@ def encoded(pieces: Pieces, s: _Slice, new: np.ndarray, masks: np.ndarray) -> tu
     count = np.bincount(atom, weights=lengths, minlength=len(size)).astype(np.int64)
     begin, tail, rest = np.cumsum(count) - count, len(flat), []
     for k in new[(size[new] > 1) & ~s.by_fold[new]]:
-        v = pieces.merged("".join(map(chr, s.chars[s.starts[k] : s.starts[k] + size[k]])))
+        v = (pieces.merged if pieces.merges else pieces.best)("".join(map(chr, s.chars[s.starts[k] : s.starts[k] + size[k]])))
         count[k], begin[k], tail = len(v), tail, tail + len(v)
         rest += v
     flat = np.concatenate([flat, np.array(rest, np.int32)])
@@ -437,8 +490,14 @@ def assemble(pieces: Pieces, texts: list[str], masks: np.ndarray, memory: Memory
     memory.add(s, new, *encoded(pieces, s, new, masks))
     at = np.searchsorted(memory.keys, s.keys)[s.which]
     count = memory.count[at]
-    ends = np.concatenate([[0], np.cumsum(count)])
-    return memory.flat[_ranges(memory.begin[at], count)], ends[s.rows]
+    ends = np.concatenate([[0], np.cumsum(count)])[s.rows]
+    flat = memory.flat[_ranges(memory.begin[at], count)]
+    if (pieces.byte_ids < 0).any():  # unknown pieces next to each other in a text are one
+        again = flat == pieces.unknown
+        again[1:] &= again[:-1].copy()
+        again[ends[ends < len(flat)]] = False
+        flat, ends = flat[~again], ends - np.concatenate([[0], np.cumsum(again)])[ends]
+    return flat, ends
 
 
 def _close(path: str | None, check: bool):
@@ -471,13 +530,14 @@ def _close(path: str | None, check: bool):
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, check: bool = True) -> DataFrame:
     """doc_id, ids (the pieces of the whole text) and round_trip (decoding gives the text back) for each row of docs.
 
-    path is the model's file, the same on all machines. Null and empty texts have no pieces and decode to the empty
+    path is the model's file, of merges or unigram, the same on all machines. Null and empty texts have no pieces and decode to the empty
     text. Repeated rows are encoded alike; an empty table gives an empty result; further columns are ignored.
     A text that holds U+2581 itself decodes with spaces there, as the model has it.
     """
     rows = picked(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    opened = rows.mapInArrow(_open(path), "slice long, doc_id long, text string, masks array<long>, edges array<array<struct<ends:long,inner:long>>>")
-    folded = opened.select("slice", "doc_id", "text", F.zip_with("masks", "edges", fold_merges).alias("masks"))
+    edge, fold = ("ends:long,inner:long", fold_merges) if load(path).merges else ("start:int,end:int,id:int,score:double", fold_best)
+    opened = rows.mapInArrow(_open(path), f"slice long, doc_id long, text string, masks array<long>, edges array<array<struct<{edge}>>>")
+    folded = opened.select("slice", "doc_id", "text", F.zip_with("masks", "edges", fold).alias("masks"))
     return folded.mapInArrow(_close(path, check), "doc_id long, ids array<int>, round_trip boolean")
 
 

@@ -517,6 +517,48 @@ def test_encode_and_decode(odd, none):
     assert pieces.encode(none).count() == 0
 
 
+def _field(number, value):
+    """A field of a protocol buffer message: text, bytes or a float."""
+    import struct
+
+    if isinstance(value, float):
+        return bytes([number << 3 | 5]) + struct.pack("<f", value)
+    if isinstance(value, int):
+        return bytes([number << 3, value])
+    value = value.encode() if isinstance(value, str) else value
+    assert len(value) < 128
+    return bytes([number << 3 | 2, len(value)]) + value
+
+
+def test_unigram_models_equal_library(spark, tmp_path):
+    import public_tokenizers
+    import sentencepiece
+
+    rng = random.Random(3)
+    # the pieces of the public vocabulary with scores of a unigram model, and a model of a few pieces without bytes; sums of these scores are exact in any precision
+    public = sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path(pieces.MODEL)))
+    kinds = [2 if public.is_unknown(i) else 3 if public.is_control(i) else 6 if public.is_byte(i) else 1 for i in range(public.get_piece_size())]
+    large = b"".join(_field(1, _field(1, public.id_to_piece(i)) + _field(2, -rng.randrange(8, 200) / 16) + _field(3, kind)) for i, kind in enumerate(kinds))
+    large += _field(2, _field(3, 1) + b"\x98\x02\x01") + _field(3, _field(4, 0))
+    own = sorted({"▁", *"abcdé", *("".join(rng.choice("▁abcdé") for _ in range(rng.randrange(2, 6))) for _ in range(80))})
+    small = b"".join(_field(1, _field(1, x) + _field(2, 0.0) + _field(3, kind)) for x, kind in (("<unk>", 2), ("<s>", 3), ("</s>", 3)))
+    small += b"".join(_field(1, _field(1, x) + _field(2, -rng.randrange(8, 200) / 16)) for x in own) + _field(2, _field(3, 1)) + _field(3, _field(4, 0))
+    texts = ["".join(rng.choice(["a", "b", "ab", "cd", "é", " ", "xyz", "the ", "Hello", "ing", "🙂"]) for _ in range(rng.randrange(0, 30))) for _ in range(300)]
+    texts += ["", " ", "   ", "abcdé" * 60, "x" * 200, "xyxy ab", "漢字" * 50, " " * 100]
+    rows = spark.createDataFrame([*enumerate(texts), (len(texts), None)], "doc_id long, text string")
+    for name, model in (("large", large), ("small", small)):
+        at = tmp_path / f"{name}.model"
+        at.write_bytes(model)
+        sp = sentencepiece.SentencePieceProcessor(model_file=str(at))
+        out = {r.doc_id: r for r in pieces.encode(rows, path=str(at)).collect()}
+        assert not pieces.load(str(at)).merges and len(out) == len(texts) + 1 and out[len(texts)].ids == []
+        back = {r.doc_id: r.text for r in pieces.decode(spark.createDataFrame([(i, r.ids) for i, r in out.items()], "doc_id long, ids array<int>"), path=str(at)).collect()}
+        for i, t in enumerate(texts):
+            assert out[i].ids == sp.encode(t), (name, t)
+            assert back[i] == sp.decode(out[i].ids), (name, t)
+            assert name == "small" or out[i].round_trip
+
+
 def test_viterbi(spark):
     scores = {"a": -2.0, "b": -2.5, "c": -3.0, "ab": -3.0, "bc": -3.5, "abc": -6.0, "ca": -4.0}
     for word in ("abc", "abcabc", "cab", "bca", "a"):
