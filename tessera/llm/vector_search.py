@@ -14,7 +14,9 @@ would answer the same queries). A query probes the lists whose distance is withi
 further ones until their own ids suffice for k neighbours.
 
 Scoring: lists are dealt out in blocks of about `block` rows, so a list that many equal vectors share is scored by many
-tasks, and a query goes to each block of a list. A block returns each query's k best ids; the best of all blocks follow.
+tasks, and a query goes to each block of a list. The queries of a list are dealt out likewise, in shares of about `asked`,
+and each block goes to every share, so a task has at most a block and a share however many queries probe its list. It
+returns each query's k best ids; the best of all blocks follow.
 Scores are cosines of the original vectors in double precision.
 """
 
@@ -45,6 +47,7 @@ class Plan:
     probe_ratio: float = 1.45
     probes: int = 40
     block: int = 4096
+    asked: int = 16384
 
 
 @dataclass(frozen=True)
@@ -81,7 +84,7 @@ def fit(vectors: np.ndarray, rows: int, plan: Plan) -> Index:
         order = np.argsort(x @ axis, kind="stable")
         todo += [own[order[: len(own) // 2]], own[order[len(own) // 2 :]]]
     centroids = np.array([vectors[own].mean(axis=0) for own in done])
-    for _ in range(4):  # a few rounds of refinement; a part may not grow over twice its share
+    for _ in range(4):  # a few rounds of refinement; a centroid moves only if its part is at most four times its share
         near = np.empty(len(vectors), np.int64)
         for a in range(0, len(vectors), 4096):
             near[a : a + 4096] = _distances(vectors[a : a + 4096], centroids).argmin(axis=1)
@@ -283,12 +286,16 @@ def search(table: DataFrame, queries: DataFrame | None = None, k: int = 5, id_co
     own, held = np.zeros(n_lists, np.int64), np.zeros(n_lists, np.int64)
     for r in counted:
         own[r.list], held[r.list] = r.own, r.k
-    probes = asked.mapInArrow(_probe(index, plan, width, own, k), "list int, query_id long, vector array<double>")
-    blocks = spark.createDataFrame([(i, int(max(1, -(-h // plan.block)))) for i, h in enumerate(held)], "list int, blocks int")
-    blocks = F.broadcast(blocks)
-    left = probes.join(blocks, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "query_id", "vector")
-    right = lists.join(blocks, "list").select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "vector")
-    found = left.groupBy("list", "block").cogroup(right.groupBy("list", "block")).applyInArrow(_score(width, k), "query_id long, vec_id long, score double")
+    probes = stored(asked.mapInArrow(_probe(index, plan, width, own, k), "list int, query_id long, vector array<double>"))
+    posed = {r.list: r.k for r in probes.groupBy("list").agg(F.count("*").alias("k")).collect()}  # a row a list
+    parts = spark.createDataFrame([(i, int(max(1, -(-h // plan.block))), int(max(1, -(-posed.get(i, 0) // plan.asked)))) for i, h in enumerate(held)], "list int, blocks int, shares int")
+    parts = F.broadcast(parts)  # at most most_centroids rows
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    left = probes.join(parts, "list").select("list", each("blocks").alias("block"), dealt("query_id", "shares").alias("share"), "query_id", "vector")
+    right = lists.join(parts, "list").select("list", dealt("vec_id", "blocks").alias("block"), each("shares").alias("share"), "vec_id", "vector")
+    own_task = ("list", "block", "share")
+    found = left.groupBy(*own_task).cogroup(right.groupBy(*own_task)).applyInArrow(_score(width, k), "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

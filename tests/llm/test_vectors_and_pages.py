@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import html_extraction as H
+from tessera.llm import queries
 from tessera.llm import vector_search as V
 
 
@@ -41,7 +42,24 @@ def test_recall(spark, hot):
     assert set(got) == set(want) and all(len(v) == 5 for v in got.values())
     hits = [len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / 5 for q in want]
     near = [min(s for _, s in got[q]) >= min(s for _, s in want[q]) - 1e-9 for q in want]
-    assert np.mean(hits) >= 0.9 or np.mean(near) >= 0.9
+    assert np.mean(near if hot else hits) >= 0.9  # of equal vectors brute force and search may name others
+
+
+def test_recall_on_the_table(spark, data):
+    table = spark.read.parquet(f"{data}/embeddings.parquet")
+    got = found(queries.op1_vectors(spark, str(data)))
+    rows = [r for r in V.usable(table, "vec_id", "embedding").collect()]
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.vector for r in rows])
+    want = brute(ids, x, np.flatnonzero(ids % 50 == 0), 5)
+    assert set(got) == set(want) and all(len(v) == 5 for v in got.values())
+    assert np.mean([len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / 5 for q in want]) >= 0.9
+
+
+def test_shares_of_queries(spark, data):
+    """However the queries of a list are dealt out, the result is the same."""
+    table = spark.read.parquet(f"{data}/embeddings.parquet")
+    whole, dealt = (found(V.search(table, table.where("vec_id % 10 = 0"), plan=V.Plan(block=100, asked=n))) for n in (16384, 7))
+    assert whole == dealt
 
 
 def test_odd_vectors(spark):
