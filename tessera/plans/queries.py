@@ -74,9 +74,10 @@ def line_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k"), channel("l_orderkey").alias("r"), channel("l_partkey").alias("g"), channel("l_suppkey").alias("b"))
 
 
-def _triples(colour_name: str) -> str:
+def _triples(colour_name: str, mild: bool = False) -> str:
     signs = {"blue": "<<>", "red": "><<", "green": "<>>", "black": "<<<"}[colour_name]
     rows = {"blue": colour.BLUE_PEN, "red": colour.RED_PEN, "green": colour.GREEN_PEN, "black": colour.BLACK_PEN}[colour_name]
+    rows = colour.MILD.get(colour_name, rows) if mild else rows
     return "(" + " OR ".join("(" + " AND ".join(f"{c} {o} {v}" for c, o, v in zip("rgb", signs, t, strict=True)) + ")" for t in rows) + ")"
 
 
@@ -318,9 +319,20 @@ def tissue_mask_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask.tissue_mask(pixels(spark, sf_dir), mask.MASKS)
 
 
-@query()
+# parts by their runs: within rows, joined to those of the row above that touch, also by a corner; a part is known by its first run
+_PARTS = f"""WITH RECURSIVE p AS (SELECT slide_id, x, y, x - row_number() OVER (PARTITION BY slide_id, y ORDER BY x) AS island FROM {_MASK_SQL} WHERE tissue),
+runs AS (SELECT slide_id, y, min(x) AS a, max(x) AS z, y * {W} + min(x) AS run FROM p GROUP BY slide_id, y, island),
+up AS (SELECT l.slide_id, l.run AS l, h.run AS h FROM runs l JOIN runs h ON h.slide_id = l.slide_id AND h.y = l.y - 1 AND h.a <= l.z + 1 AND l.a <= h.z + 1),
+e AS (SELECT slide_id, l, h FROM up UNION ALL SELECT slide_id, h, l FROM up),
+r AS (SELECT slide_id, run, run AS origin FROM runs UNION SELECT r.slide_id, e.h, r.origin FROM r JOIN e ON e.slide_id = r.slide_id AND e.l = r.run),
+f AS (SELECT slide_id, run, min(origin) AS first FROM r GROUP BY ALL),
+s AS (SELECT f.slide_id, first, sum(z - a + 1)::BIGINT AS area FROM f JOIN runs ON runs.slide_id = f.slide_id AND runs.run = f.run GROUP BY ALL)
+SELECT slide_id, row_number() OVER (PARTITION BY slide_id ORDER BY first)::INT AS part, area, area = max(area) OVER (PARTITION BY slide_id) AS is_largest FROM s"""
+
+
+@query(_PARTS)
 def component_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Connected parts of each mask."""
+    """Connected parts of each mask."""
     return mask.component_sizes(_mask(spark, sf_dir))
 
 
@@ -333,6 +345,25 @@ def component_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask.component_counts(p.withColumn("d", s - v), "d", tuple(round(-1 + 0.05 * k, 2) for k in range(41)))
 
 
+@query(f"SELECT slide_id, x, y, {', '.join(f'(CASE WHEN tissue THEN {c} ELSE 0 END)::SMALLINT AS {c}' for c in 'rgb')} FROM {_raster_sql(**PIXEL, tissue=TISSUE)}")
+def masked_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thumbnail under its mask."""
+    return mask.masked_pixels(pixels(spark, sf_dir), _mask(spark, sf_dir))
+
+
+@query(f"SELECT slide_id, (max(x) + 1)::INT AS width, (max(y) + 1)::INT AS height, count(*) FILTER (WHERE tissue) AS tissue_cells, count(*) FILTER (WHERE tissue) / count(*) AS tissue_share FROM {_MASK_SQL} GROUP BY slide_id")
+def mask_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and tissue of each mask."""
+    return mask.mask_attributes(_mask(spark, sf_dir))
+
+
+@query(f"SELECT k, {', '.join(f'count(*) FILTER (WHERE {_triples(c, True)})::BIGINT AS {c}' for c in ('blue', 'red', 'green', 'black'))} FROM {_LINE} GROUP BY k")
+def mild_pens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pen pixels by the milder lists."""
+    rgb = F.col("r"), F.col("g"), F.col("b")
+    return line_pixels(spark, sf_dir).groupBy("k").agg(*(F.count_if(colour.pen(c, *rgb, mild=True)).alias(c) for c in ("blue", "red", "green", "black")))
+
+
 # ---- tiles, stain
 
 
@@ -398,6 +429,13 @@ def reinhard_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("k", *(F.round(c, 5).alias(c) for c in out.columns if c != "k"))
 
 
+@query(f"SELECT k, {', '.join(f'round({fn}({c}), 5) AS {p}_{n}' for fn, p in (('avg', 'mean'), ('stddev_samp', 'std')) for c, n in (('LL', 'L'), ('aa', 'a'), ('bb', 'b')))} FROM {_lab_sql(_LINE)} GROUP BY k")
+def lab_sample_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over all pixels, with the sample's deviation."""
+    out = stain.lab_statistics(line_pixels(spark, sf_dir), "k", masked=False)
+    return out.select("k", *(F.round(c, 5).alias(c) for c in out.columns if c != "k"))
+
+
 @query()
 def reinhard_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reinhard over pixels. Not in SQL because bytes at a rounding edge may differ; tests hold it against the kernel."""
@@ -452,9 +490,14 @@ def reconstruct_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconstruct.marked(t, tissue.with_validity(t, _mask(spark, sf_dir), 0.5).where("is_valid")).select("slide_id", "x", "y", "is_included")
 
 
-@query()
+_APART = _TILES_SQL.replace(" + 32, 32))", " + 64, 64))")  # tiles that don't overlap
+_PAINTED = f"""(SELECT slide_id, x // 16 + dx AS x, y // 16 + dy AS y, max(CASE WHEN is_valid AND (dx < 0 OR dx > 2 OR dy < 0 OR dy > 2) AND NOT (dx < 0 AND dy < 0) THEN 2 WHEN NOT is_valid AND dx >= 0 AND dy >= 0 THEN 1 END) AS paint
+FROM ({_RATED.replace(_TILES_SQL, _APART)}), (SELECT unnest(range(-1, 4)) AS dx), (SELECT unnest(range(-1, 4)) AS dy) GROUP BY ALL)"""
+
+
+@query(f"SELECT p.slide_id, p.x, p.y, {', '.join(f'(CASE paint WHEN 2 THEN 255 WHEN 1 THEN 0 ELSE {c} END)::SMALLINT AS {c}' for c in 'rgb')} FROM {PIXELS_SQL} p LEFT JOIN {_PAINTED} t ON t.slide_id = p.slide_id AND t.x = p.x AND t.y = p.y")
 def reconstruct_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The drawing itself; tests hold it against a loop over tiles."""
+    """The drawing itself."""
     t = _supplier_tiles(spark, sf_dir, 1)
     full = reconstruct.marked(t, tissue.with_validity(t, _mask(spark, sf_dir), 0.5).where("is_valid"))
     return reconstruct.reconstructed(pixels(spark, sf_dir), full)
