@@ -609,6 +609,69 @@ def test_licences_padded():
     licences.identified("licence " * 100_000)
 
 
+GPL2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+
+def test_licence_notices():
+    """Notices as projects carry them, among prose and as comments."""
+    cases = {
+        GPL2: ["GPL-2.0-or-later"],
+        GPL2.replace("software; you", "software: you").replace("General", "Affero General").replace("Foundation; either version 2", "Foundation, either version 3"): ["AGPL-3.0-or-later"],
+        GPL2.replace("This program", "Foo").replace("General", "Lesser General").replace("version 2", "version 2.1"): ["LGPL-2.1-or-later"],
+        "foo is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.": ["GPL-2.0-only"],
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.": ["MPL-2.0"],
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/": ["EPL-2.0"],
+        "Distributed under the Boost Software License, Version 1.0.": ["BSL-1.0"],
+        "This library is free software; you can redistribute it and/or modify it under the same terms as Perl itself.": ["Artistic-1.0-Perl OR GPL-1.0-or-later"],
+    }
+    for t, want in cases.items():
+        for own in (t, "Some prose.\n\n" + t + "\nMore of it.", "\n".join("# " + x for x in t.split("\n"))):
+            assert [x[0] for x in licences.match(licences.identified(own))] == want, own
+
+
+def test_licence_texts():
+    """Each text of the base is found as one licence, from its first sentence to its last that is looked up; paragraphs out of order are no other one."""
+    for licence, t in licences.TEXTS.items():
+        found = licences.identified(t := t.strip())
+        assert licences.match(found) == [(licence, found[0][3], found[-1][4])] and found[0][3] == 0, licence
+        shuffled = "\n\n".join(reversed(t.split("\n\n")))
+        assert {x[0] for x in licences.match(licences.identified(shuffled))} <= {licence}
+    assert len({r.sentences for r in licences.RULES}) == len(licences.RULES)
+
+
+def test_licence_rules_against_brute_force():
+    """match, against trying all chains of sentences in order of rule and place."""
+
+    def brute(found, gap, rules):
+        used, out = set(), []
+        for rule in sorted(rules, key=lambda r: -len(r.sentences)):
+            for first in range(len(found)):
+                chains = [[first]] if found[first][1] == rule.sentences[0] and first not in used else []
+                for name in rule.sentences[1:]:  # the earliest that fits is taken, so a chain has one way on
+                    chains = [[*c, min(n)] for c in chains if (n := [j for j in range(len(found)) if j not in used and j > c[-1] and j - c[-1] <= gap + 1 and found[j][1] == name and found[j][0] - found[c[-1]][0] <= gap + 1])]
+                for c in chains:
+                    used.update(c)
+                    out.append((rule.licence, found[c[0]][3], found[c[-1]][4]))
+        return sorted(out, key=lambda x: (x[1], x[2], x[0]))
+
+    rng = random.Random(5)
+    rules = (licences.Rule("A", ("a", "b", "c")), licences.Rule("B", ("a", "b")), licences.Rule("C", ("b", "a", "a")), licences.Rule("D", ("c",)), licences.Rule("E", ("a",)))
+    for _ in range(500):
+        places = sorted(rng.sample(range(30), rng.randint(0, 14)))
+        found = [(k, rng.choice("abcd"), {}, 10 * k, 10 * k + 9) for k in places]
+        gap = rng.randint(0, 4)
+        assert licences.match(found, gap, rules) == brute(found, gap, rules)
+
+
 def test_words_are_hashed_alike_wherever_they_stand():
     rng = random.Random(9)
     texts = [text(rng, 30) for _ in range(20)] + [None, "", "x" * 3000]
