@@ -1,8 +1,9 @@
 """Line dedup over levelled sorted runs of line hashes.
 
 A run is a table of line hashes in hash order, with the number of documents that hold each line and the largest
-of their ids. Documents come in batches; a batch merge-anti-joins the runs and adds the lines it brings as a run
-of level 0, while what it adds to lines already met is kept as a tally. When a level has `fanout` runs they are
+of their ids, written in buckets by line that are sorted. Documents come in batches; a batch is counted into such a
+table of its own, which merge-anti-joins the runs one by one without moving a row of either, and adds the lines it
+brings as a run of level 0, while what it adds to lines already met is kept as a tally. When a level has `fanout` runs they are
 merged into one run of the next level, so a line is rewritten once a level and there are few runs to join. The
 runs hold 16-byte hashes of lines, never the lines, and lines are counted before they are dealt out by line.
 """
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .shared import partitions, picked, stored, trimmed, without
+from .shared import bucketed, partitions, picked, sorted_buckets, stored, trimmed, without
 
 _STRIP = " \t\n\x0b\x0c\r"
 _LOWER = {i: i + 32 for i in range(65, 91)}
@@ -62,35 +63,40 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 class LineRuns:
-    """The lines met so far, in runs stored in the shared scratch folder and sorted by line. No line is in two runs; what later batches add to a line they don't bring stands in `tallies`."""
+    """The lines met so far, in runs stored in the shared scratch folder, bucketed and sorted by line. No line is in two runs; what later batches add to a line they don't bring stands in `tallies`."""
 
     def __init__(self, fanout: int = 4) -> None:
         self.fanout, self.levels, self.tallies = fanout, [], []
 
     def runs(self) -> list[DataFrame]:
-        return [r for level in self.levels for r in level]
+        return [run for level in self.levels for run, _ in level]
+
+    def _plain(self) -> list[DataFrame]:
+        return [plain for level in self.levels for _, plain in level]
 
     def _put(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(stored(run.sortWithinPartitions("line")))
+        self.levels[level].append(bucketed(run, "line"))
         if len(self.levels[level]) >= self.fanout:
-            merged, self.levels[level] = _union(self.levels[level]), []
+            merged, self.levels[level] = _union([plain for _, plain in self.levels[level]]), []
             self._put(merged.repartition(partitions(merged.sparkSession), "line"), level + 1)
 
     def add(self, lines: DataFrame) -> None:
         """Adds a batch of distinct (line, doc_id); all rows of a document are in one batch."""
-        own = stored(lines.groupBy("line").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last")))
-        runs = self.runs()
-        if runs:
-            met = _union([r.select("line") for r in runs])
-            self.tallies.append(stored(own.join(met, "line", "left_semi")))
-            own = own.join(met, "line", "left_anti")
-        self._put(own, 0)
+        own = lines.groupBy("line").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last"))
+        runs = [run.select("line").hint("merge") for run in self.runs()]
+        with sorted_buckets(lines.sparkSession):
+            if runs:
+                own, _ = bucketed(own, "line")
+                self.tallies.append(stored(_union([own.join(run, "line", "left_semi") for run in runs])))
+                for run in runs:
+                    own = own.join(run, "line", "left_anti")
+            self._put(own, 0)
 
     def common(self, least_docs: int) -> DataFrame:
         """(line, n_docs, last) of the lines that so many documents hold."""
-        return _union([*self.runs(), *self.tallies]).groupBy("line").agg(F.sum("n_docs").alias("n_docs"), F.max("last").alias("last")).where(F.col("n_docs") >= least_docs)
+        return _union([*self._plain(), *self.tallies]).groupBy("line").agg(F.sum("n_docs").alias("n_docs"), F.max("last").alias("last")).where(F.col("n_docs") >= least_docs)
 
 
 def _drop(least: int):
