@@ -1,9 +1,11 @@
 """Approximate nearest neighbours by cosine over balanced posting lists.
 
-Fit: a sample of at most `sample` unit vectors (those of least hash) is split again and again into equal halves along
-its main axis, until a part holds at most `posting` of the rows it stands for; the means of the parts are the centroids.
-Equal halves keep the lists balanced. Centroids are at most `most_centroids`, so the index that goes to the executors
-has a fixed bound, whatever the table's size.
+Fit: a sample of unit vectors (those of least hash) is split again and again into equal halves along its main axis,
+until a part holds at most `posting` of the rows it stands for; the means of the parts are the centroids. Equal halves
+keep the lists balanced. Beyond `most_centroids` centroids their number grows with the root of the rows, and the sample
+with eight vectors a centroid, so lists and what a query reads grow with the root too. The sample has at most `sample`
+vectors or `sample_bytes`, whichever is more, and centroids are at most an eighth of it: the index that goes to the
+executors has a fixed bound, whatever the table's size.
 
 Graph: centroids are linked to their nearest ones and to random ones; a beam search over that graph finds the lists
 near a vector. It runs for whole batches of vectors at once.
@@ -22,6 +24,7 @@ Scores are cosines of the original vectors in double precision.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,6 +41,7 @@ class Plan:
     """Parameters of the index. Defaults were set by measured recall."""
 
     sample: int = 1 << 15
+    sample_bytes: int = 1 << 28
     posting: int = 256
     most_centroids: int = 4096
     degree: int = 24
@@ -57,6 +61,15 @@ class Index:
     entries: np.ndarray
 
 
+def sizes_of(rows: int, width: int, plan: Plan) -> tuple[int, int]:
+    """Vectors in the sample, and most centroids, for so many rows of so many components."""
+    grown = math.isqrt(rows)
+    if grown <= plan.most_centroids:
+        return plan.sample, plan.most_centroids
+    sample = max(plan.sample, min(8 * grown, plan.sample_bytes // (8 * width)))
+    return sample, max(plan.most_centroids, min(grown, sample // 8))
+
+
 def _units(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
@@ -65,7 +78,7 @@ def _units(x: np.ndarray) -> np.ndarray:
 def fit(vectors: np.ndarray, rows: int, plan: Plan) -> Index:
     """Centroids and graph from a sample of unit vectors that stands for so many rows."""
     rng = np.random.default_rng(11)
-    parts = int(np.clip(-(-rows // plan.posting), 1, plan.most_centroids))
+    parts = int(np.clip(-(-rows // plan.posting), 1, sizes_of(rows, vectors.shape[1], plan)[1]))
     least = max(1, len(vectors) // parts)
     todo, done = [np.arange(len(vectors))], []
     while todo:
@@ -86,8 +99,9 @@ def fit(vectors: np.ndarray, rows: int, plan: Plan) -> Index:
     centroids = np.array([vectors[own].mean(axis=0) for own in done])
     for _ in range(4):  # a few rounds of refinement; a centroid moves only if its part is at most four times its share
         near = np.empty(len(vectors), np.int64)
-        for a in range(0, len(vectors), 4096):
-            near[a : a + 4096] = _distances(vectors[a : a + 4096], centroids).argmin(axis=1)
+        step = max(1, min(4096, (1 << 24) // len(centroids)))
+        for a in range(0, len(vectors), step):
+            near[a : a + step] = _distances(vectors[a : a + step], centroids).argmin(axis=1)
         size = np.bincount(near, minlength=len(centroids))
         total = np.zeros_like(centroids)
         np.add.at(total, near, vectors)
@@ -96,10 +110,11 @@ def fit(vectors: np.ndarray, rows: int, plan: Plan) -> Index:
     n = len(centroids)
     degree = min(plan.degree, n - 1)
     links = np.empty((n, degree + min(4, n - 1)), np.int64)
-    for a in range(0, n, 1024):
-        d = _distances(centroids[a : a + 1024], centroids)
+    step = max(1, min(1024, (1 << 22) // n))
+    for a in range(0, n, step):
+        d = _distances(centroids[a : a + step], centroids)
         d[np.arange(len(d)), np.arange(a, a + len(d))] = np.inf
-        links[a : a + 1024, :degree] = np.argpartition(d, degree - 1, axis=1)[:, :degree] if 0 < degree < n else 0
+        links[a : a + step, :degree] = np.argpartition(d, degree - 1, axis=1)[:, :degree] if 0 < degree < n else 0
     if n > 1:
         links[:, degree:] = rng.integers(0, n, (n, links.shape[1] - degree))
     entries = np.unique(rng.integers(0, n, 16))
@@ -272,24 +287,25 @@ def search(table: DataFrame, queries: DataFrame | None = None, k: int = 5, id_co
     width, n_rows = top.width, min(top.k, top.distinct)  # repeated rows are one
     rows = rows.where(F.size("vector") == width)
     asked = usable(queries, id_col, vector_col).where(F.size("vector") == width) if queries is not None else rows
-    share = min(1.0, 2.0 * plan.sample / n_rows)
+    n_sample, _ = sizes_of(n_rows, width, plan)
+    share = min(1.0, 2.0 * n_sample / n_rows)
     # twice the sample by threshold, then exactly the rows of least hash
     some = rows.where(drawn <= F.lit(int(-(1 << 63) + share * ((1 << 64) - 1)))) if share < 1 else rows
-    some = some.dropDuplicates(["vec_id", "vector"]).orderBy(drawn, "vec_id").limit(plan.sample).select("vector")
+    some = some.dropDuplicates(["vec_id", "vector"]).orderBy(drawn, "vec_id").limit(n_sample).select("vector")
     sample = _units(_matrix(some.toArrow().column("vector").combine_chunks(), width))
     index = spark.sparkContext.broadcast(fit(sample, n_rows, plan))
     n_lists = len(index.value.centroids)
     lists = stored(rows.dropDuplicates(["vec_id", "vector"]).mapInArrow(_assign(index, plan, width), "list int, vec_id long, first boolean, vector array<double>"))
     one = lists.where("first").groupBy("vec_id").agg(F.min("list").alias("list")).select("list", F.lit(True).alias("own"))  # an id counts in one list
     both = lists.select("list", F.lit(False).alias("own")).union(one)
-    counted = both.groupBy("list").agg(F.count_if(~F.col("own")).alias("k"), F.count_if("own").alias("own")).collect()  # a row a list, at most most_centroids
+    counted = both.groupBy("list").agg(F.count_if(~F.col("own")).alias("k"), F.count_if("own").alias("own")).collect()  # a row a list, as many as centroids
     own, held = np.zeros(n_lists, np.int64), np.zeros(n_lists, np.int64)
     for r in counted:
         own[r.list], held[r.list] = r.own, r.k
     probes = stored(asked.mapInArrow(_probe(index, plan, width, own, k), "list int, query_id long, vector array<double>"))
     posed = {r.list: r.k for r in probes.groupBy("list").agg(F.count("*").alias("k")).collect()}  # a row a list
     parts = spark.createDataFrame([(i, int(max(1, -(-h // plan.block))), int(max(1, -(-posed.get(i, 0) // plan.asked)))) for i, h in enumerate(held)], "list int, blocks int, shares int")
-    parts = F.broadcast(parts)  # at most most_centroids rows
+    parts = F.broadcast(parts)  # a row a centroid
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     dealt = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
     left = probes.join(parts, "list").select("list", each("blocks").alias("block"), dealt("query_id", "shares").alias("share"), "query_id", "vector")

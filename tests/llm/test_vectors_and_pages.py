@@ -244,3 +244,16 @@ def test_pages_of_the_table(spark, data):
         want[r.page_id] = "\n".join(x for x in parts if x)
     got = {r.page_id: r.text for r in H.main_texts(pages.withColumn("extra", F.lit(1))).collect()}
     assert got == want
+
+
+def test_centroids_grow_with_the_root_of_the_rows():
+    plan = V.Plan()
+    assert V.sizes_of(1000, 64, plan) == V.sizes_of(16_000_000, 64, plan) == (1 << 15, 4096)
+    assert V.sizes_of(10**9, 64, plan) == (8 * 31_622, 31_622)
+    sample, most = V.sizes_of(10**12, 64, plan)
+    assert sample * 64 * 8 <= plan.sample_bytes and most == sample // 8
+    assert V.sizes_of(10**12, 4096, plan) == (1 << 15, 4096)
+    small = V.Plan(sample=256, most_centroids=8, posting=4)
+    x = np.random.default_rng(3).standard_normal((V.sizes_of(40_000, 8, small)[0], 8))
+    at = V.fit(x / np.linalg.norm(x, axis=1, keepdims=True), 40_000, small)
+    assert len(x) == 1600 and 100 <= len(at.centroids) <= 200
