@@ -49,11 +49,16 @@ PIXEL = {
 TISSUE = "((x * 31 + y * 17 + s * 7) % 11 < 4 + s % 4)"
 
 
+def _dealt(slides: DataFrame) -> DataFrame:
+    """slides dealt out by slide before each becomes many rows: the file is small, so it is read by one task, which would make them all."""
+    return slides.repartition(int(slides.sparkSession.conf.get("spark.sql.shuffle.partitions")), "slide_id")
+
+
 def _raster(spark: SparkSession, sf_dir: str, **cols: str) -> DataFrame:
     """One row a pixel of each supplier's thumbnail."""
-    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("int").alias("s"))
-    full = s.select("s", F.explode(F.sequence(F.lit(0), F.lit(H - 1))).alias("y")).select("s", "y", F.explode(F.sequence(F.lit(0), F.lit(W - 1))).alias("x"))
-    return full.select(F.col("s").cast("string").alias("slide_id"), "x", "y", "s", *(F.expr(e.format(div="div")).alias(c) for c, e in cols.items()))
+    s = _dealt(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("slide_id"), F.col("s_suppkey").cast("int").alias("s")))
+    full = s.select("slide_id", "s", F.explode(F.sequence(F.lit(0), F.lit(H - 1))).alias("y")).select("slide_id", "s", "y", F.explode(F.sequence(F.lit(0), F.lit(W - 1))).alias("x"))
+    return full.select("slide_id", "x", "y", "s", *(F.expr(e.format(div="div")).alias(c) for c, e in cols.items()))
 
 
 def _raster_sql(**cols: str) -> str:
@@ -194,7 +199,7 @@ def tile_grid_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _supplier_tiles(spark: SparkSession, sf_dir: str, overlap: int = 2) -> DataFrame:
     """Tiles of 64 over slides of 16 times the thumbnail; edge tiles pass the mask."""
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("slide_id"), F.lit(W * 16 + 20).alias("width"), F.lit(H * 16 + 8).alias("height"), F.lit(64).alias("size"), F.lit(16).alias("scale"))
-    return grid.tile_grid(s, overlap).select("slide_id", "x", "y", "size", "scale")
+    return grid.tile_grid(_dealt(s), overlap).select("slide_id", "x", "y", "size", "scale")
 
 
 _TILES_SQL = f"(SELECT s_suppkey::VARCHAR AS slide_id, x::INT AS x, y::INT AS y FROM supplier, (SELECT unnest(range(0, {W * 16 + 20} - 64 + 32, 32)) AS x), (SELECT unnest(range(0, {H * 16 + 8} - 64 + 32, 32)) AS y))"

@@ -32,3 +32,30 @@ def test_entry_contract(spark, data):
     assert set(queries.QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns == ["slide_id", "total_tiles", "valid_tiles", "pct_valid"]
+
+
+def _broadcast_rows(df) -> list[int]:
+    """Rows of each broadcast of the plan as it ran."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif kind == "BroadcastExchangeExec":
+            found.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+#: Queries whose tiles and pixels, made of a small table of slides, look small to the planner.
+GROWN = ("tile_counts",)
+
+
+@pytest.mark.parametrize("name", GROWN)
+def test_broadcasts_hold_no_more_rows_than_slides(spark, data, name):
+    """Nor is all made by the one task that reads the slides."""
+    assert max(_broadcast_rows(queries.QUERIES[name](spark, data)), default=0) <= spark.read.parquet(f"{data}/supplier.parquet").count()
