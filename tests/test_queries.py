@@ -52,7 +52,7 @@ def _broadcast_rows(df) -> list[int]:
 
 
 #: Queries whose tiles and pixels, made of a small table of slides, look small to the planner.
-GROWN = ("tile_counts",)
+GROWN = ("tile_counts", "tissue_ratio_sat")
 
 
 @pytest.mark.parametrize("name", GROWN)
