@@ -73,6 +73,7 @@ def equalised(values: DataFrame, key: str, value: str) -> DataFrame:
 def _hot(pixels: DataFrame) -> DataFrame:
     """pixels with `otsu`: heat above the slide's threshold. They are dealt out by slide once; windows over a slide's rows and columns then need no further exchange."""
     hot = pixels.repartition("slide_id").withColumn("heat", colour.heat(F.col("r"), F.col("g"), F.col("b")))
+    hot = hot.hint("merge")  # pixels look few to the planner, which would broadcast them; dealt out by slide, they merge without an exchange
     return hot.join(otsu(hot, "slide_id", "heat"), "slide_id").withColumn("otsu", F.col("heat") > F.col("threshold")).drop("heat", "threshold")
 
 
@@ -176,7 +177,7 @@ def component_sizes(mask: DataFrame, diagonal: bool = True) -> DataFrame:
 
 def masked_pixels(pixels: DataFrame, mask: DataFrame) -> DataFrame:
     """pixels with those outside the mask black."""
-    out = pixels.join(mask.withColumnsRenamed({"mx": "x", "my": "y"}), ["slide_id", "x", "y"])
+    out = pixels.join(mask.withColumnsRenamed({"mx": "x", "my": "y"}).hint("merge"), ["slide_id", "x", "y"])  # neither side may be broadcast
     return out.select("slide_id", "x", "y", *(F.when(F.col("tissue"), F.col(c)).otherwise(F.lit(0)).cast("smallint").alias(c) for c in "rgb"))
 
 
