@@ -59,3 +59,20 @@ GROWN = ("tile_counts", "tissue_ratio_sat", "qc_sample", "summary_report", "coor
 def test_broadcasts_hold_no_more_rows_than_slides(spark, data, name):
     """Nor is all made by the one task that reads the slides."""
     assert max(_broadcast_rows(queries.QUERIES[name](spark, data)), default=0) <= spark.read.parquet(f"{data}/supplier.parquet").count()
+
+
+def test_blur_histogram_counts_variances_on_edges_like_sql(spark, tmp_path):
+    """Vectors scaled until their variance is a bin's edge to six places, and one step of 1e-6 to either side."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    one = np.random.default_rng(5).normal(size=64).astype(np.float32)
+    pq.write_table(pa.table({"vec_id": pa.array([0]), "embedding": pa.array([one.tolist()], pa.list_(pa.float32())), "label": pa.array([0], pa.int32())}), f"{tmp_path}/embeddings.parquet")
+    con = database("/root/testdata/sf0.001")
+    con.sql(f"CREATE OR REPLACE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet')")
+    per = con.sql(queries._LAPLACE.replace("round(var_pop(e), 6)", "var_pop(e)")).fetchall()[0][1]
+    wanted = [k / 5 + d for k in range(21) for d in (-1e-6, 0, 1e-6) if k / 5 + d >= 0]
+    vectors = [(one.astype(float) * (w / per) ** 0.5).astype(np.float32).tolist() for w in wanted]
+    pq.write_table(pa.table({"vec_id": pa.array(range(len(wanted))), "embedding": pa.array(vectors, pa.list_(pa.float32())), "label": pa.array([0] * len(wanted), pa.int32())}), f"{tmp_path}/embeddings.parquet")
+    same(queries.QUERIES["blur_histogram"](spark, str(tmp_path)), con, queries.SQL["blur_histogram"])
