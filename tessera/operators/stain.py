@@ -44,7 +44,8 @@ def reinhard(pixels: DataFrame, key: str, masked: bool = True) -> DataFrame:
     The scale is 1 + q with q = (target - own deviation) / target, .05 where that isn't positive.
     """
     stats = lab_statistics(pixels, key, masked)
-    full = colour.with_lab(pixels, ("LL", "aa", "bb")).join(stats, key)
+    # from the left, so that the pixels, which look few to the planner, are never what it broadcasts
+    full = colour.with_lab(pixels.where(F.col(key).isNotNull()), ("LL", "aa", "bb")).join(stats, key, "left")
     q = (kernels.LAB_STDS[0] - F.col("std_L")) / kernels.LAB_STDS[0]
     full = full.withColumn("__q", F.when(q <= 0, 0.05).otherwise(q))
     moved = {"LL": F.col("mean_L") + (F.col("LL") - F.col("mean_L")) * (1 + F.col("__q")), "aa": kernels.LAB_MEANS[1] + (F.col("aa") - F.col("mean_a")), "bb": kernels.LAB_MEANS[2] + (F.col("bb") - F.col("mean_b"))}

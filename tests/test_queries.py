@@ -76,3 +76,8 @@ def test_blur_histogram_counts_variances_on_edges_like_sql(spark, tmp_path):
     vectors = [(one.astype(float) * (w / per) ** 0.5).astype(np.float32).tolist() for w in wanted]
     pq.write_table(pa.table({"vec_id": pa.array(range(len(wanted))), "embedding": pa.array(vectors, pa.list_(pa.float32())), "label": pa.array([0] * len(wanted), pa.int32())}), f"{tmp_path}/embeddings.parquet")
     same(queries.QUERIES["blur_histogram"](spark, str(tmp_path)), con, queries.SQL["blur_histogram"])
+
+
+def test_pixels_are_made_by_more_than_one_task(spark, data):
+    """Slides are one small file, read by one task."""
+    assert queries.pixels(spark, data).selectExpr("spark_partition_id() AS p").distinct().count() > 1
