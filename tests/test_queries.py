@@ -81,3 +81,28 @@ def test_blur_histogram_counts_variances_on_edges_like_sql(spark, tmp_path):
 def test_pixels_are_made_by_more_than_one_task(spark, data):
     """Slides are one small file, read by one task."""
     assert queries.pixels(spark, data).selectExpr("spark_partition_id() AS p").distinct().count() > 1
+
+
+def test_otsu_takes_the_first_of_bins_that_are_exactly_equal(spark):
+    """Supplier 109 of sf0.1: bin 127 is empty, so what is told apart at 126 and 127 is the same; compared in rational numbers."""
+    from fractions import Fraction
+
+    from pyspark.sql import functions as F
+
+    from tessera.operators import mask
+
+    v = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").where("l_suppkey = 109").select(F.lit(0).alias("k"), F.col("l_extendedprice").alias("v"))
+    values = [r.v for r in v.collect()]
+    low, high = min(values), max(values)
+    n = [0] * 256
+    for x in values:
+        n[min(255, int((x - low) / (high - low) * 256))] += 1
+    c = [Fraction(low) + (Fraction(i) + Fraction(1, 2)) * (Fraction(high) - Fraction(low)) / 256 for i in range(256)]
+    between = []
+    for i in range(255):
+        w, s = sum(n[: i + 1]), sum(a * b for a, b in zip(n[: i + 1], c))
+        u, t = sum(n[i + 1 :]), sum(a * b for a, b in zip(n[i + 1 :], c[i + 1 :]))
+        between.append(w * u * (s / w - t / u) ** 2)
+    first = between.index(max(between))
+    assert between[first] == between[first + 1] and n[first + 1] == 0
+    assert abs(mask.otsu(v, "k", "v").first().threshold - float(c[first])) < 1e-6
