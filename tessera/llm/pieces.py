@@ -36,7 +36,7 @@ from .words import mix
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 #: Characters of an atom that fit the mask; characters of a slice; atoms in a row of the lattice; atoms that a task remembers.
-WIDEST, SLICE, ATOMS, REMEMBERED = 62, 1 << 19, 2048, 1 << 19
+WIDEST, SLICE, ATOMS, REMEMBERED = 62, 1 << 17, 2048, 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MODELS: dict = {}
