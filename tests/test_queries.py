@@ -52,7 +52,7 @@ def _broadcast_rows(df) -> list[int]:
 
 
 #: Queries whose tiles and pixels, made of a small table of slides, look small to the planner.
-GROWN = ("tile_counts", "tissue_ratio_sat", "qc_sample", "summary_report", "coord_except", "reconstruct_marks", "reconstruct_pixels", "tissue_ratio_cell", "tissue_mask_sql", "masked_pixels", "valid_tile_counts")
+GROWN = ("tile_counts", "tissue_ratio_sat", "qc_sample", "summary_report", "coord_except", "reconstruct_marks", "reconstruct_pixels", "tissue_ratio_cell", "tissue_mask_sql", "masked_pixels", "valid_tile_counts", "tissue_mask_clean")
 
 
 @pytest.mark.parametrize("name", GROWN)
