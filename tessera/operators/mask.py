@@ -1,4 +1,4 @@
-"""Tissue masks over pixel tables, in DataFrame operations; connected parts in a kernel, a slide at a time.
+"""Tissue masks over pixel tables, in DataFrame operations; where connected parts are asked for, all masks in kernels, a slide at a time.
 
 A thumbnail is at most some hundred thousand pixels, so a window over one slide is small; slides are what there are many of.
 """
@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,34 +116,32 @@ def colour_masks(pixels: DataFrame, names: tuple[str, ...], limits: dict[str, fl
 def tissue_mask(pixels: DataFrame, masks: tuple[str, ...] = MASKS[:6], red_pen_thresh: float = 0.4, blue_pen_thresh: float = 0.4, clean: bool = True, compat: bool = False, mild: bool = False) -> DataFrame:
     """(slide_id, mx, my, tissue): the masks combined, small parts removed and small holes filled."""
     names = tuple(m for m in masks if m not in ("otsu", "folds"))
+    limits = {"red": red_pen_thresh, "blue": blue_pen_thresh}
+    if clean or "folds" in masks:
+        ship(pixels.sparkSession)
+        run = _whole(masks, names, _IGNORED | limits, clean, compat, mild)
+        return pixels.select("slide_id", "x", "y", "r", "g", "b").groupBy("slide_id").applyInArrow(run, "slide_id string, mx int, my int, tissue boolean")
     out = dilated_all(_marked(_hot(pixels), names, mild), {m: _GROWN[m] for m in ("otsu", *names)})
-    out = colour_masks(out, names, {"red": red_pen_thresh, "blue": blue_pen_thresh}) if names else out
+    out = colour_masks(out, names, limits) if names else out
     tissue = F.lit(True)
     for m in masks:
-        if m != "folds":
-            tissue = tissue & F.col(m)
-    out = out.withColumn("tissue", tissue)
-    if not (clean or "folds" in masks):
-        return out.select("slide_id", F.col("x").alias("mx"), F.col("y").alias("my"), "tissue")
-    ship(out.sparkSession)
-    return out.select("slide_id", "x", "y", "r", "g", "b", "otsu", "tissue").groupBy("slide_id").applyInPandas(_cleaner("folds" in masks, clean, compat), "slide_id string, mx int, my int, tissue boolean")
-
-
-def _cleaner(folded: bool, clean: bool, compat: bool):
-    def run(slide: pd.DataFrame) -> pd.DataFrame:
-        x, y = slide["x"].to_numpy(), slide["y"].to_numpy()
-
-        def image(column: str, kind=bool) -> np.ndarray:
-            out = np.zeros((y.max() + 1, x.max() + 1), kind)
-            out[y, x] = slide[column].to_numpy()
-            return out
-
-        tissue = image("tissue")
-        if folded:
-            tissue &= kernels.folds(*(image(c, np.int16) for c in "rgb"), image("otsu"), compat=compat)
-        if clean:
-            tissue = kernels.fill_holes(kernels.remove_small(tissue, compat=compat))
-        return pd.DataFrame({"slide_id": slide["slide_id"].to_numpy(), "mx": x, "my": y, "tissue": tissue[y, x]})
+        tissue = tissue & F.col(m)
+    return out.select("slide_id", F.col("x").alias("mx"), F.col("y").alias("my"), tissue.alias("tissue"))
+
+
+def _whole(masks: tuple[str, ...], names: tuple[str, ...], limits: dict[str, float], clean: bool, compat: bool, mild: bool):
+    """All masks of one slide in kernels: connected parts need the whole of it at once, and then the other masks cost neither sorts nor joins of pixels. A pixel without a channel has heat 0 and no pen mark of its own."""
+
+    def run(slide: pa.Table) -> pa.Table:
+        x, y = (slide.column(c).to_numpy() for c in "xy")
+        r, g, b = (slide.column(c).fill_null(0).to_numpy().astype(np.int16) for c in "rgb")
+        known = {c: slide.column(c).is_valid().to_numpy() for c in "rgb"}
+        apart = lambda p, q, d: np.where(known[p] & known[q], d, 0)  # noqa: E731  as greatest() takes nulls
+        rg, bg, rb = apart("r", "g", r - g), apart("b", "g", b - g), apart("r", "b", r - b)
+        marks = {n: np.maximum(np.maximum(abs(rg), abs(rb)), abs(bg)) > 15 if n == "gray" else colour.pen(n, r, g, b, mild) & known["r"] & known["g"] & known["b"] for n in names}
+        heat = np.minimum(np.maximum(rg, 0), np.maximum(bg, 0)).astype(np.int64)
+        out = kernels.tissue(x, y, (r, g, b), marks, _GROWN, limits, heat, tuple(m for m in masks if m != "folds"), "folds" in masks, clean, compat)
+        return pa.table([slide.column("slide_id"), slide.column("x"), slide.column("y"), pa.array(out)], names=["slide_id", "mx", "my", "tissue"])
 
     return run
 

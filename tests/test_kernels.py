@@ -136,3 +136,24 @@ def test_resolution_ties_and_ends(spark):
 
     df = spark.createDataFrame([(0.05, 0.1), (0.25, 0.25), (0.375, 0.5), (0.374, 0.25), (0.75, 1.0), (24.0, 32.0), (99.0, 32.0)], "m double, want double")
     assert all(r.got == r.want for r in df.select("want", resolution.closest_mpp(F.col("m")).alias("got")).collect())
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_component_numbers(seed):
+    m = np.random.default_rng(seed).random((4, 9, 11)) < np.array([0.0, 0.3, 0.6, 1.0])[:, None, None]
+    assert kernels.component_numbers(m).tolist() == [flood(x, True)[1] for x in m]
+
+
+def test_masks_of_a_slide_at_once(spark, data):
+    """Cleaned masks are made a slide at a time, without joins or windows over pixels; before cleaning they are those of DataFrame operations."""
+    from tessera.operators import mask
+    from tessera.plans import queries
+
+    odd = spark.createDataFrame([("none", 0, 0, None, None, None), ("part", 0, 0, 200, 90, 180), ("part", 4, 1, None, 90, 180), ("part", 9, 1, 240, 240, 240)], "slide_id string, x int, y int, r smallint, g smallint, b smallint")
+    p = queries.pixels(spark, data).unionByName(odd)
+    want = sorted((*r[:3], bool(r[3])) for r in mask.tissue_mask(p, clean=False).collect())
+    run = mask._whole(mask.MASKS[:6], mask.MASKS[1:6], mask._IGNORED, False, False, False)
+    assert sorted(map(tuple, p.groupBy("slide_id").applyInArrow(run, "slide_id string, mx int, my int, tissue boolean").collect())) == want
+    assert len({r[3] for r in want}) == 2
+    plan = queries.tissue_mask_clean(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
