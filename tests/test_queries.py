@@ -108,6 +108,6 @@ def test_otsu_takes_the_first_of_bins_that_are_exactly_equal(spark):
     assert abs(mask.otsu(v, "k", "v").first().threshold - float(c[first])) < 1e-6
 
 
-@pytest.mark.parametrize("name", ("tissue_ratio_sat", "qc_sample", "reconstruct_pixels", "reconstruct_marks"))
+@pytest.mark.parametrize("name", ("tissue_ratio_sat", "qc_sample", "reconstruct_pixels", "reconstruct_marks", "summary_report"))
 def test_sizes_of_slides_are_not_broadcast(spark, data, name):
     assert not _broadcast_rows(queries.QUERIES[name](spark, data))
