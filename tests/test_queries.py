@@ -111,3 +111,19 @@ def test_otsu_takes_the_first_of_bins_that_are_exactly_equal(spark):
 @pytest.mark.parametrize("name", ("tissue_ratio_sat", "qc_sample", "reconstruct_pixels", "reconstruct_marks", "summary_report"))
 def test_sizes_of_slides_are_not_broadcast(spark, data, name):
     assert not _broadcast_rows(queries.QUERIES[name](spark, data))
+
+
+def test_steps_of_the_pipeline_broadcast_no_more_rows_than_slides(spark, data, monkeypatch):
+    """The tables that the whole plan keeps on its way, not its result alone; masks are made without joins."""
+    from tessera import session
+
+    kept = []
+
+    def stored(df, *by):
+        kept.append(df)
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(session, "stored", stored)
+    queries.valid_tiles_pipeline(spark, data)
+    assert len(kept) == 3 and "Join" not in kept[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert max((n for df in kept for n in _broadcast_rows(df)), default=0) <= spark.read.parquet(f"{data}/supplier.parquet").count()
