@@ -112,7 +112,7 @@ def _deal(n_words: int, frequent, buckets: int, seed: int):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequent.value
-        for b in _slices(batches):
+        for b in _slices(batches, 2 << 20):
             sets = words.shingle_sets(b.column("text"), n_words)
             gid, first = np.unique(_identity(sets, seed), return_index=True)
             sets = [s[: np.searchsorted(s, _TOP)] for s in (sets[i] for i in first)]
@@ -175,15 +175,17 @@ def _prefixes(n_words: int, threshold: int, frequent, buckets: int):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequent.value
-        for b in _slices(batches):
+        for b in _slices(batches, 2 << 20):
             sets = words.shingle_sets(b.column("text"), n_words)
             groups, prefixes = [], []
-            for s, shared in zip(sets, b.column("shared").to_pylist(), strict=True):
+            lists = b.column("shared")
+            cuts, every = lists.offsets.to_numpy(), [lists.values.field(c).to_numpy(zero_copy_only=False) for c in ("token", "df")]
+            for s, i, j in zip(sets, cuts[:-1], cuts[1:], strict=True):
                 known = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s if len(often) else np.zeros(len(s), bool)
                 rank = np.where(known, 2, np.where(s >= _TOP, 1, 0))
                 df = np.zeros(len(s), np.int64)
-                if shared:
-                    tokens, dfs = (np.array(x, np.int64) for x in zip(*((x["token"], x["df"]) for x in shared), strict=True))
+                if j > i:
+                    tokens, dfs = (x[i:j] for x in every)
                     order = np.argsort(tokens)
                     # as the buckets know them: the bucket and the low 40 bits
                     tokens, dfs, known_as = tokens[order], dfs[order], (_bucket(s & ~_TOP, buckets) << 40) + (s & _LOW40).astype(np.int64)
@@ -192,14 +194,14 @@ def _prefixes(n_words: int, threshold: int, frequent, buckets: int):
                 order = np.lexsort((s, s & _LOW40, df, rank))[: prefix_length(len(s), threshold)]
                 groups.append(words.mix(np.array([np.add.reduce(words.mix(s[order] + np.arange(len(order), dtype=np.uint64))) + np.uint64(len(s))]))[0])
                 at = np.flatnonzero((rank[order] > 0) | (df[order] > 0))
-                prefixes.append([s[order][at].view(np.int64), at.astype(np.int64)])
+                prefixes.append((s[order][at].view(np.int64), at.astype(np.int64)))
+            ends = pa.array(np.cumsum([0, *(len(at) for _, at in prefixes)]), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("gid"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(np.array(groups, np.uint64).view(np.int64)),
-                    pa.array([x.tolist() for x, _ in prefixes], pa.list_(pa.int64())),
-                    pa.array([x.tolist() for _, x in prefixes], pa.list_(pa.int64())),
+                    *(pa.ListArray.from_arrays(ends, np.concatenate(x)) for x in zip(*prefixes, strict=True)),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
                 ],
                 ["gid", "n", "grp", "prefix", "places", "members"],

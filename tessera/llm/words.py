@@ -17,8 +17,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: Bytes hashed together; temporary arrays take eight bytes for each.
-CHUNK = 1 << 20
+#: Bytes hashed together; temporary arrays take eight bytes for each, and so do the powers that a worker keeps.
+CHUNK = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -112,6 +112,15 @@ def windows(words: np.ndarray, n: int) -> np.ndarray:
 def shingle_sets(texts: pa.Array, n: int = 5) -> list[np.ndarray]:
     """The sorted distinct n-word shingles of each text, as 64-bit hashes; the whole sequence where there are fewer words."""
     data, offsets = buffers(texts)
+    out, i = [], 0
+    while i + 1 < len(offsets):  # a few texts at a time, for the temporary arrays' sake
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + 4 * CHUNK, "right")) - 1)
+        out += _shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
+        i = j
+    return out
+
+
+def _shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
     starts, ends, rows = spans(data, offsets)
     words = hashes(data, starts, ends)
     every = windows(words, n)
