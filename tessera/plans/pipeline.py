@@ -75,7 +75,7 @@ def summary(run: Run, kept: DataFrame | None = None, times: dict[str, float] | N
     """SUMMARY rows, one a slide that was processed. times: seconds of a slide by column."""
     counts = tissue.tile_counts(run.grid)
     left = (run.tiles if kept is None else kept).groupBy("slide_id").agg(F.count("*").alias("kept"))
-    out = run.slides.select("slide_id", "path").join(counts, "slide_id", "left").join(left, "slide_id", "left")
+    out = run.slides.select("slide_id", "path").join(counts.hint("merge"), "slide_id", "left").join(left.hint("merge"), "slide_id", "left")  # a row a slide: nothing that grows with slides goes through the driver
     n = F.coalesce("kept", F.lit(0)).cast("int")
     times = times or {}
     names = [f"time_{part}_{kind}" for kind in ("cpu", "user") for part in ("masking", "obtaining_valid_coordinates", "patching_tiles")]

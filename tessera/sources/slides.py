@@ -94,7 +94,8 @@ def in_blocks(tiles: DataFrame, slides: DataFrame, rows: int = 16) -> DataFrame:
     block = F.floor(F.col("y") / (F.col("size") * rows)).alias("block")
     own = tiles.groupBy("slide_id", "size", block).agg(F.sort_array(F.collect_list(F.struct("y", "x"))).alias("origins"))
     n = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return own.join(slides.drop("size"), "slide_id").repartition(n, "slide_id", "block").sortWithinPartitions("slide_id")
+    # a row a slide with its header looks small to the planner, which would send all of them through the driver
+    return own.join(slides.drop("size").hint("merge"), "slide_id").repartition(n, "slide_id", "block").sortWithinPartitions("slide_id")
 
 
 def read_regions(blocks: DataFrame, reader: str = "synthetic", side: int | None = None, resampler: str = "bilinear") -> DataFrame:

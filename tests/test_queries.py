@@ -127,3 +127,18 @@ def test_steps_of_the_pipeline_broadcast_no_more_rows_than_slides(spark, data, m
     queries.valid_tiles_pipeline(spark, data)
     assert len(kept) == 3 and "Join" not in kept[0]._jdf.queryExecution().optimizedPlan().toString()
     assert max((n for df in kept for n in _broadcast_rows(df)), default=0) <= spark.read.parquet(f"{data}/supplier.parquet").count()
+
+
+def test_the_pipeline_broadcasts_no_slides(spark, data, monkeypatch):
+    """Neither the tables that it keeps nor its summary send a row a slide through the driver."""
+    from tessera import session
+
+    kept = []
+
+    def stored(df, *by):
+        kept.append(df)
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(session, "stored", stored)
+    kept.append(queries.valid_tiles_pipeline(spark, data))
+    assert len(kept) == 4 and not [n for df in kept for n in _broadcast_rows(df)]
